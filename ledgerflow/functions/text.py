@@ -115,3 +115,13 @@ def contains_any(c: Column, terms) -> Column:
     for t in terms:
         cond = cond | F.contains(c, F.lit(t))
     return cond
+
+
+def select_where(df, cols, cond):
+    """Project ``cols`` and keep the rows where ``cond(row_struct)`` holds,
+    with no Filter node: the row is kept or dropped by a generator over a
+    one-element array. Catalyst cannot push a predicate below a generator,
+    so the projected (regex-heavy) expressions are neither duplicated into a
+    pushed filter nor re-evaluated; the result is a plain narrow map."""
+    rec = F.struct(*cols)
+    return df.select(F.inline(F.filter(F.array(rec), cond)))
