@@ -15,7 +15,7 @@ from ..functions.text import clean_description, norm
 from ..operators.ingest import dedupe_keep_first, limit_per_file
 from ..operators.rules import apply_rules
 from ..operators.xref import match_transfers
-from ..schema import MONEY, conform
+from ..schema import MONEY, conform, row_position
 from ..sources.files import read_table
 from . import sqlgen as S
 
@@ -200,7 +200,9 @@ def known_from_customers(spark, sf) -> DataFrame:
                     .otherwise(F.lit("business")).alias("lean"))
 
 
-def q_transfer_rules(spark, sf, known_inline_limit=None):
+def events_ledger(spark, sf, with_provenance: bool = True) -> DataFrame:
+    """Bank-side transfer lines from events as ledger rows (clicks debits,
+    views credits, errors undated debits)."""
     b = events_bank(spark, sf)
     et = F.col("event_type")
     led = b.select("row_id", "date", F.col("date").alias("transaction_date"),
@@ -209,8 +211,16 @@ def q_transfer_rules(spark, sf, known_inline_limit=None):
                    F.when(F.col("direction") == "sent", F.col("amount")).alias("debit"),
                    F.when(F.col("direction") == "received", F.col("amount")).alias("credit"),
                    F.col("amount"), _case(et, BANK_CATEGORY).alias("category"),
-                   F.when(et == "view", F.col("props")).alias("note"))
-    led = conform(led, keep=["row_id"])
+                   F.when(et == "view", F.col("props")).alias("note"),
+                   F.year("date").alias("year"), F.month("date").alias("month"),
+                   F.lit("bank_events").alias("file"), row_position(F.lit(0), "row_id").alias("row_no"))
+    if with_provenance:
+        return conform(led.drop("row_id"), keep=["file", "row_no"])
+    return conform(led, keep=["row_id"])
+
+
+def q_transfer_rules(spark, sf, known_inline_limit=None):
+    led = events_ledger(spark, sf, with_provenance=False)
     kwargs = {} if known_inline_limit is None else {"known_inline_limit": known_inline_limit}
     r = apply_rules(led, events_index(spark, sf, with_customer=True), known_from_customers(spark, sf),
                     **kwargs)

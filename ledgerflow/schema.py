@@ -24,6 +24,15 @@ LEDGER_SCHEMA = T.StructType([T.StructField(c, _LEDGER_TYPES[c], True) for c in
 # Provenance columns that stand in for the implicit row order of files.
 PROVENANCE = ("file", "file_rank", "row_no")
 
+
+def row_position(block, idx):
+    """``row_no`` convention: struct<block: long, id: long> (position of the
+    split or page, then the row inside it); orders like file order."""
+    from pyspark.sql import functions as F
+    b = F.col(block) if isinstance(block, str) else block
+    i = F.col(idx) if isinstance(idx, str) else idx
+    return F.struct(b.cast("long").alias("block"), i.cast("long").alias("id"))
+
 _RECORD_TYPES = {c: T.StringType() for c in RECORD_COLUMNS}
 _RECORD_TYPES.update({"date": T.DateType(), "amount": MONEY, "subtotal": MONEY,
                       "gst_hst": MONEY, "qst_pst": MONEY, "total": MONEY})
