@@ -1,0 +1,160 @@
+"""Statement-line operators: parser examples, split repair, running balance."""
+import random
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from ledgerflow.operators.statements import (clean_td_line, extract_ck_tangerine, extract_loc_mc, extract_td,
+                                             words_to_lines)
+from ledgerflow.schema import LINES_SCHEMA, WORDS_SCHEMA
+
+
+def lines_df(spark, pages, bank, file="f1"):
+    rows = []
+    for p, page in enumerate(pages):
+        for i, line in enumerate(page):
+            rows.append((file, bank, p, i, line))
+    return spark.createDataFrame(rows, LINES_SCHEMA)
+
+
+def test_loc_mc_lines(spark):
+    df = lines_df(spark, [["header", "Apr. 23 Apr. 24 PAYMENT RECEIVED - THANK YOU 555.55 CR",
+                           "Apr. 2 Apr. 3 USD 65.99@1.4776 SUBSCRIPTION 97.51", "Jan. no amount here"]], "MC")
+    out = extract_loc_mc(df, "MC").orderBy("line_no").collect()
+    assert [(r.trans_date, r.posting_date, r.description, r.amount, r.card_type) for r in out] == [
+        ("Apr. 23", "Apr. 24", "PAYMENT RECEIVED - THANK YOU", Decimal("555.55"), "credit"),
+        ("Apr. 2", "Apr. 3", "USD 65.99@1.4776 SUBSCRIPTION", Decimal("97.51"), "debit")]
+
+
+def test_loc_last_page_only(spark):
+    df = lines_df(spark, [["Apr. 1 Apr. 2 A 1.00"], ["Apr. 3 Apr. 4 B 2.00"]], "LOC")
+    out = extract_loc_mc(df, "LOC").collect()
+    assert [r.description for r in out] == ["B"]
+
+
+def test_ck_balance_direction_and_markers(spark):
+    pages = [["Opening Balance 100.00", "Apr03 TRANSFER RECEIVED 1,999.99 2,099.99", "Apr04 FEE 10.00 2,089.99"],
+             ["Apr05 DEPOSIT 5.00 2,094.99", "Closing Balance 2,094.99", "Apr06 AFTER 1.00 9,999.00"]]
+    out = extract_ck_tangerine(lines_df(spark, pages, "CK"), "CK").orderBy("page", "line_no").collect()
+    assert [(r.trans_date, r.description, r.card_type) for r in out] == [
+        ("Apr 03", "TRANSFER RECEIVED", "credit"), ("Apr 04", "FEE", "debit"), ("Apr 05", "DEPOSIT", "credit")]
+
+
+def test_bad_opening_drops_file(spark):
+    pages = [["Opening Balance n/a", "Apr03 X 1.00 2.00"]]
+    out = extract_ck_tangerine(lines_df(spark, pages, "CK"), "CK").collect()
+    assert out == []
+
+
+def test_tangerine_normal_and_split(spark):
+    pages = [["01 Apr 2025 EFT Withdrawal to INSURER 239.00 1,683.58",
+              "Interac - Purchase - CORNER STORE MONTREAL",
+              "01 Apr 2025 44.83 1,638.75"]]
+    out = extract_ck_tangerine(lines_df(spark, pages, "Tangerine"), "Tangerine").orderBy("line_no").collect()
+    assert [(r.trans_date, r.description, r.amount, r.card_type, r.statement_year) for r in out] == [
+        ("Apr 01", "EFT Withdrawal to INSURER", Decimal("239.00"), "credit", "2025"),
+        ("Apr 01", "Interac - Purchase - CORNER STORE MONTREAL", Decimal("44.83"), "debit", "2025")]
+
+
+def test_td_lines(spark):
+    pages = [["19mar 20mar SHOP 22,96$",
+              "T 19mar 20mar SHOP 10 626,13$ Frais 0,00$",
+              "2 1avr 3avr 60,00$",
+              "8 TRANSIT PASS",
+              "19 mar 20 mar SPACED 5,00$",
+              "A B 19mar 20mar NOISE 1,00$",
+              "SHOP 12 22,96"]]
+    out = extract_td(lines_df(spark, pages, "TD")).orderBy("line_no").collect()
+    got = [(r.trans_date, r.posting_date, r.description, r.amount) for r in out]
+    assert got == [("19mar", "20mar", "SHOP", Decimal("22.96")),
+                   ("19mar", "20mar", "SHOP", Decimal("10626.13")),
+                   ("1avr", "3avr", "TRANSIT PASS", Decimal("60.00")),
+                   ("19mar", "20mar", "SPACED", Decimal("5.00"))]
+
+
+def test_td_description_ending_in_digits(spark):
+    out = extract_td(lines_df(spark, [["19mar 20mar SHOP 12 22,96$"]], "TD")).collect()
+    assert (out[0].description, out[0].amount) == ("SHOP 12", Decimal("22.96"))
+
+
+def test_clean_td_line(spark):
+    df = spark.createDataFrame([("T 19mar 20mar X",), ("5 6 19mar",), ("A B 19mar",), ("_ 3avr 4avr y",)], "l string")
+    got = [r[0] for r in df.select(clean_td_line(F.col("l"))).collect()]
+    assert got == ["19mar 20mar X", "5 6 19mar", "A B 19mar", "3avr 4avr y"]
+
+
+def _greedy(words, tol=2.0):
+    words = sorted(words, key=lambda w: (w[3], w[2], w[0]))
+    lines, cur, anchor = [], [], None
+    for w in words:
+        if anchor is None or abs(w[3] - anchor) <= tol:
+            if anchor is None:
+                anchor = w[3]
+            cur.append(w)
+        else:
+            lines.append(cur)
+            cur, anchor = [w], w[3]
+    if cur:
+        lines.append(cur)
+    out = []
+    for ln in lines:
+        t = " ".join(w[1] for w in sorted(ln, key=lambda w: (w[2], w[3], w[0]))).strip()
+        if t:
+            out.append(t)
+    return out
+
+
+def test_words_to_lines_matches_loop(spark):
+    rnd = random.Random(3)
+    rows, expect = [], {}
+    for page in range(30):
+        ws = []
+        for seq in range(rnd.randrange(1, 40)):
+            top = round(rnd.choice([0, 10, 11.5, 13, 20, 21.9, 24, 40]) + rnd.random() * 1.5, 2)
+            ws.append((seq, rnd.choice(["a", "b", "cc", "Total", "12,00$"]), float(rnd.randrange(0, 300)), top))
+        expect[page] = _greedy(ws)
+        rows += [("f", page, s, t, x, y) for s, t, x, y in ws]
+    df = spark.createDataFrame(rows, WORDS_SCHEMA)
+    got = {}
+    for r in words_to_lines(df).orderBy("page", "line_no").collect():
+        got.setdefault(r.page, []).append(r.line)
+    assert got == {k: v for k, v in expect.items() if v}
+
+
+def test_running_balance_matches_page_loop(spark):
+    """T12 against a page-by-page loop (openings of a page apply first)."""
+    rnd = random.Random(5)
+    files = {}
+    rows = []
+    for f in range(6):
+        pages = []
+        for p in range(rnd.randrange(1, 4)):
+            page = []
+            for i in range(rnd.randrange(1, 8)):
+                if rnd.random() < 0.15:
+                    page.append(f"Opening Balance {rnd.randrange(0, 500)}.00")
+                else:
+                    page.append(f"Apr{rnd.randrange(10, 28)} ITEM {rnd.randrange(1, 50)}.00 {rnd.randrange(0, 500)}.00")
+            pages.append(page)
+        files[f"f{f}"] = pages
+        for p, page in enumerate(pages):
+            for i, line in enumerate(page):
+                rows.append((f"f{f}", "CK", p, i, line))
+    expect = []
+    for fname, pages in files.items():
+        bal = Decimal(0)
+        for p, page in enumerate(pages):
+            data = []
+            for i, line in enumerate(page):
+                if "Opening Balance" in line:
+                    bal = Decimal(line.split()[-1])
+                    continue
+                data.append((i, line))
+            for i, line in data:
+                nb = Decimal(line.split()[-1])
+                expect.append((fname, p, i, "credit" if nb > bal else "debit"))
+                bal = nb
+    df = spark.createDataFrame(rows, LINES_SCHEMA)
+    got = [(r.file, r.page, r.line_no, r.card_type) for r in
+           extract_ck_tangerine(df, "CK", block_pages=2).orderBy("file", "page", "line_no").collect()]
+    assert got == sorted(expect)

@@ -1,0 +1,26 @@
+"""Incremental drop-folder ingest removes copies across micro-batches."""
+import os
+import tempfile
+
+from ledgerflow.streaming.ingest_stream import dedupe_stream, read_stream
+
+
+def test_stream_dedupe(spark):
+    folder = tempfile.mkdtemp(prefix="lf-drop-")
+    header = "TYPE,DATE,DIRECTION,AMOUNT,BANK,CONTACT,ACCOUNT,REFERENCE,MEMO,VENDOR,INVOICE_NO,SUBTOTAL,GST_HST," \
+             "QST_PST,TOTAL,CURRENCY,SOURCE,LINK,SUBJECT\n"
+    row1 = "transfer,2026-04-01,received,10.00,TD,Jo,,REF1234567,,,,,,,,,interac_email,,s\n"
+    row2 = "invoice,2026-04-02,,20.00,,,,,,Acme,,,,,20.00,CAD,inline_body,,Receipt\n"
+    with open(os.path.join(folder, "email_records_a.csv"), "w") as fh:
+        fh.write(header + row1 + row2)
+    q = (dedupe_stream(read_stream(spark, folder, "records")).drop("_event_time")
+         .writeStream.format("memory").queryName("lf_stream_out").outputMode("append")
+         .option("checkpointLocation", tempfile.mkdtemp(prefix="lf-ck-")).start())
+    q.processAllAvailable()
+    with open(os.path.join(folder, "email_records_b.csv"), "w") as fh:
+        fh.write(header + row1)   # a copy of an earlier row
+    q.processAllAvailable()
+    q.stop()
+    out = spark.sql("SELECT source, description FROM lf_stream_out").collect()
+    assert sorted((r.source, r.description) for r in out) == [("CIBC", "Acme | Receipt"),
+                                                              ("TD_Visa", "Jo | REF1234567")]
