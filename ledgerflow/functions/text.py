@@ -88,15 +88,21 @@ def unwrap_quotes(c) -> Column:
 SPLITLINES_RE = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 
 
+# Single-character terminators of ``str.splitlines`` besides "\n".
+_OTHER_TERMINATORS = "\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
+
+
 def split_lines(c) -> Column:
-    """Array of lines like ``str.splitlines()`` (no trailing empty line)."""
+    """Array of lines like ``str.splitlines()`` (no trailing empty line).
+    "\r\n" and the other terminators are first folded into "\n" with plain
+    string functions, so the split is a literal one-character split."""
     s = F.coalesce(col_(c), F.lit(""))
-    arr = F.split(s, SPLITLINES_RE)
+    s = F.translate(F.replace(s, F.lit("\r\n"), F.lit("\n")), _OTHER_TERMINATORS, "\n" * len(_OTHER_TERMINATORS))
+    arr = F.split(s, "\n")
     # splitlines() drops the piece after a final terminator and yields [] for "".
-    ends_nl = s.rlike("(?:" + SPLITLINES_RE + ")$")
     n = F.size(arr)
     return F.when(s == "", F.array().cast("array<string>")) \
-        .when(ends_nl, F.slice(arr, 1, n - 1)).otherwise(arr)
+        .when(s.endswith("\n"), F.slice(arr, 1, n - 1)).otherwise(arr)
 
 
 def first_substring_label(c: Column, table, default=None) -> Column:

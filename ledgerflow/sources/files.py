@@ -29,8 +29,19 @@ def with_provenance(df: DataFrame) -> DataFrame:
                                              F.monotonically_increasing_id().alias("id"))))
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition when a scan yields fewer partitions than the
+    cluster has cores (a small file with one row group is one task, and the
+    per-row regex work after it would run on one core). At scale, scans have
+    far more partitions than cores and this is a no-op. The round-robin
+    exchange sorts before distributing, so task retries see the same rows."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_rows else df
 
 
 def _csv(spark, paths, schema=None, **opts) -> DataFrame:
