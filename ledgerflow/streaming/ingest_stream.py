@@ -32,7 +32,8 @@ def read_stream(spark: SparkSession, folder: str, kind: str = "records", max_fil
     raw = (spark.readStream.schema(schema).option("header", "true").option("maxFilesPerTrigger", max_files)
            .csv(folder)
            .withColumn("file", F.col("_metadata.file_name"))
-           .withColumn("row_no", row_position(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())))
+           # streams keep the first arrival, so the block position is enough
+           .withColumn("row_no", row_position(F.col("_metadata.file_block_start"), F.lit(0))))
     if kind == "records":
         rec = raw.select(*[F.col(c.upper()).alias(c) for c in RECORD_COLUMNS], "file", "row_no")
         rec = rec.withColumn("date", F.col("date").try_cast("date"))
