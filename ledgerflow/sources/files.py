@@ -175,3 +175,37 @@ def mail_output_stem(since, until) -> str:
 
 def lower_name(c):
     return norm(c)
+
+
+def resolve_sources(spark: SparkSession, pattern: str, fallback: str | None = None) -> list[str]:
+    """Files matching ``pattern`` (sorted) if any, else the fallback file
+    if it exists, else nothing. Lists names only; no data reaches the driver."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = path.getFileSystem(conf)
+    found = fs.globStatus(path)
+    names = sorted(str(s.getPath()) for s in (found or []))
+    if names:
+        return names
+    if fallback:
+        fp = jvm.org.apache.hadoop.fs.Path(fallback)
+        if fp.getFileSystem(conf).exists(fp):
+            return [fallback]
+    return []
+
+
+def read_labelled(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The labelled ledger (CSV with header or Parquet), conformed."""
+    from ..schema import conform
+    df = spark.read.option("header", "true").csv(path) if fmt == "csv" else spark.read.parquet(path)
+    renamed = df.select(*[F.col(f"`{c}`").alias(c.strip().lower().replace(" ", "_").replace("-", "_"))
+                          for c in df.columns])
+    return conform(renamed, keep=[c for c in renamed.columns if c not in ("file", "row_no")])
+
+
+def write_classified(df: DataFrame, root: str, run_date, fmt: str = "parquet", mode: str = "errorifexists") -> str:
+    """The classified ledger under ``run_date=YYYY-MM-DD``."""
+    path = f"{root.rstrip('/')}/run_date={run_date.isoformat()}"
+    write_table(df, path, fmt, mode)
+    return path
