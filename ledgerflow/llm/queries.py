@@ -4,8 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import merkle, mixing, simhash, warc
-from .common import hex64, table
+from . import decontam, langid, merkle, mixing, pii, simhash, toxicity, warc
+from .common import hex64, id_mod, table
+
+
+def op1_pii(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.learn(docs))
+
+
+def op2_langid(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = langid.predict(docs.select("doc_id", "text"), langid.learn(docs))
+    return found.select("doc_id", (id_mod("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "bits_per_byte")
 
 
 def op3_merkle(spark, sf_dir):
@@ -72,6 +83,10 @@ SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256, fingerprint, edite
 FROM g"""
 
 
+def op4_decontamination(spark, sf_dir):
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_warc(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     return warc.round_trip(spark, pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -127,9 +142,21 @@ def op8_simhash(spark, sf_dir):
     return found.select("doc_id", hex64(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op10_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    found = toxicity.score(docs, model)
+    return found.select("doc_id", (id_mod("doc_id", 5) == 0).alias("held_out"), "score",
+                        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES = {
+    "op1_pii": (op1_pii, None),
+    "op2_langid": (op2_langid, None),
     "op3_merkle": (op3_merkle, OP3_SQL),
+    "op4_decontamination": (op4_decontamination, None),
     "op5_warc": (op5_warc, OP5_SQL),
     "op6_mixing": (op6_mixing, OP6_SQL),
     "op8_simhash": (op8_simhash, None),
+    "op10_toxicity": (op10_toxicity, None),
 }
