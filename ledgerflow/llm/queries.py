@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontam, langid, merkle, mixing, pii, simhash, toxicity, warc
+from . import decontam, langid, merkle, mixing, pii, pitman_yor, simhash, toxicity, warc
 from .common import hex64, id_mod, table
 
 
@@ -142,6 +142,10 @@ def op8_simhash(spark, sf_dir):
     return found.select("doc_id", hex64(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op9_pitman_yor(spark, sf_dir):
+    return pitman_yor.score(table(spark, sf_dir, "documents"), id_mod("doc_id", 7) == 2)
+
+
 def op10_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -158,5 +162,6 @@ QUERIES = {
     "op5_warc": (op5_warc, OP5_SQL),
     "op6_mixing": (op6_mixing, OP6_SQL),
     "op8_simhash": (op8_simhash, None),
+    "op9_pitman_yor": (op9_pitman_yor, None),
     "op10_toxicity": (op10_toxicity, None),
 }

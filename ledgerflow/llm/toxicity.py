@@ -36,7 +36,7 @@ MIN_POSITIVES = 4  # documents a feature must be seen in
 STEMS = (5, 7)
 STEPS = 400
 RATE = 0.05
-DECAY = 2e-4
+DECAY = 5e-4
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
@@ -90,6 +90,7 @@ def nnpu(rows: np.ndarray, cols: np.ndarray, y: np.ndarray, n_cols: int, prior:
     pos, unl = y == 1, y == 0
     w, b = np.zeros(n_cols), float(np.log(max(prior, 1e-6) / max(1 - prior, 1e-6)))
     m, v, mb, vb = np.zeros(n_cols), np.zeros(n_cols), 0.0, 0.0
+    mean_w, mean_b, tail = np.zeros(n_cols), 0.0, steps // 2  # the second half's mean: the risk isn't smooth
     for t in range(1, steps + 1):
         z = np.clip(b + np.bincount(rows, w[cols], n), -30, 30)
         s = 1 / (1 + np.exp(-z))  # d of -log(1 - s) is s, d of -log s is s - 1
@@ -104,7 +105,9 @@ def nnpu(rows: np.ndarray, cols: np.ndarray, y: np.ndarray, n_cols: int, prior:
         c1, c2 = 1 - 0.9 ** t, 1 - 0.999 ** t
         w = w - RATE * (m / c1) / (np.sqrt(v / c2) + 1e-8)
         b = b - RATE * (mb / c1) / (np.sqrt(vb / c2) + 1e-8)
-    return w, b
+        if t > steps - tail:
+            mean_w, mean_b = mean_w + w / tail, mean_b + b / tail
+    return mean_w, mean_b
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> dict:
