@@ -207,3 +207,11 @@ def predict(docs: DataFrame, samples: dict[str, bytes]) -> DataFrame:
 def learn(docs: DataFrame) -> dict[str, bytes]:
     """Samples from the documents that are not held out (crc32 of the id mod 3 is not 1)."""
     return training_sample(docs.where(id_mod("doc_id", 3) != 1).select("doc_id", "text", "lang"))
+
+
+def known_language(docs: DataFrame) -> DataFrame:
+    """``docs`` without those whose text has no language (null, or no letter)."""
+    names = [f"c{k}" for k in range(len(docs.columns))]  # whatever the columns are called, they come back as they were
+    plain = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names)], F.col("text").alias("text"))
+    found = predict(plain, learn(docs)).where(F.col("lang_pred") != UNKNOWN)
+    return found.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names)])

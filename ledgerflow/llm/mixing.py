@@ -82,6 +82,22 @@ def _schedule(spark, sources: list[dict], block_words: int) -> DataFrame:
     return kept.unionByName(closing)
 
 
+def mixed(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """``docs`` that the mix takes words of, with size, source_size, target, taken and
+    first_slot. Rows that repeat an id are paired with their places in the order
+    of id, source and size, so each keeps one row."""
+    size = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long")
+    w = Window.partitionBy("doc_id").orderBy("source", "size")
+    shares = mix(docs, weights, max_repeat, block_words).withColumn("_n", F.row_number().over(
+        Window.partitionBy("doc_id").orderBy("source", "size")))
+    names = {"size", "source_size", "target", "taken", "first_slot", "_n"}
+    kept = [c for c in docs.columns if c not in names]
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept], size.alias("size")).withColumn("_n", F.row_number().over(w))
+    got = shares.where("taken > 0").select(F.col("doc_id").alias("_id"), "_n", "source_size", "target", "taken", "first_slot")
+    return (rows.join(got, rows["doc_id"].eqNullSafe(got["_id"]) & (rows["_n"] == got["_n"]))
+            .drop("_id", rows["_n"]).drop("_n"))
+
+
 def mix(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT,
         block_words: int = BLOCK_WORDS) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, taken,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontam, langid, merkle, mixing, pii, pitman_yor, simhash, toxicity, warc
+from . import decontam, langid, merkle, mixing, pii, pitman_yor, simhash, suffix_dedup, toxicity, warc
 from .common import hex64, id_mod, table
 
 
@@ -137,6 +137,10 @@ SELECT doc_id, size, source_size, target,
 FROM p"""
 
 
+def op7_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents")).drop("removed")
+
+
 def op8_simhash(spark, sf_dir):
     found = simhash.near_groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", hex64(F.col("fp")).alias("fingerprint"), "component_id")
@@ -161,6 +165,7 @@ QUERIES = {
     "op4_decontamination": (op4_decontamination, None),
     "op5_warc": (op5_warc, OP5_SQL),
     "op6_mixing": (op6_mixing, OP6_SQL),
+    "op7_suffix_dedup": (op7_suffix_dedup, None),
     "op8_simhash": (op8_simhash, None),
     "op9_pitman_yor": (op9_pitman_yor, None),
     "op10_toxicity": (op10_toxicity, None),
