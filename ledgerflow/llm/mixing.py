@@ -54,7 +54,7 @@ def _schedule(spark, sources: list[dict], block_words: int) -> DataFrame:
     total = sum(s["size"] for s in sources)
     n_slots = -(-total // block_words)
     edges = np.cumsum([s["target"] for s in sources]) / max(1.0, sum(s["target"] for s in sources))
-    edges[-1] = 1.0
+    edges[-1:] = 1.0
 
     @F.pandas_udf("int")
     def source_at(slot: pd.Series) -> pd.Series:
@@ -84,18 +84,19 @@ def _schedule(spark, sources: list[dict], block_words: int) -> DataFrame:
 
 def mixed(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` that the mix takes words of, with size, source_size, target, taken and
-    first_slot. Rows that repeat an id are paired with their places in the order
-    of id, source and size, so each keeps one row."""
-    size = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long")
+    first_slot (a column of ``docs`` of such a name gives way). Rows that repeat an id
+    are paired with their places in the order of id, source and size, so each keeps one row."""
+    added = ["size", "source_size", "target", "taken", "first_slot"]
+    kept = [k for k, c in enumerate(docs.columns) if c not in added]
+    names = [f"c{k}" for k in range(len(docs.columns))]  # columns come back under their own names, whatever these are
+    id_, text, source = (names[docs.columns.index(c)] for c in ("doc_id", "text", "source"))
     w = Window.partitionBy("doc_id").orderBy("source", "size")
-    shares = mix(docs, weights, max_repeat, block_words).withColumn("_n", F.row_number().over(
-        Window.partitionBy("doc_id").orderBy("source", "size")))
-    names = {"size", "source_size", "target", "taken", "first_slot", "_n"}
-    kept = [c for c in docs.columns if c not in names]
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], size.alias("size")).withColumn("_n", F.row_number().over(w))
-    got = shares.where("taken > 0").select(F.col("doc_id").alias("_id"), "_n", "source_size", "target", "taken", "first_slot")
-    return (rows.join(got, rows["doc_id"].eqNullSafe(got["_id"]) & (rows["_n"] == got["_n"]))
-            .drop("_id", rows["_n"]).drop("_n"))
+    shares = mix(docs, weights, max_repeat, block_words).withColumn("n", F.row_number().over(w)).where("taken > 0")
+    size = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("long")
+    rows = docs.toDF(*names).withColumn("words", size).withColumn(
+        "place", F.row_number().over(Window.partitionBy(id_).orderBy(source, "words")))
+    return (rows.join(shares, F.col(id_).eqNullSafe(F.col("doc_id")) & (F.col("place") == F.col("n")))
+            .select(*[F.col(names[k]).alias(docs.columns[k]) for k in kept], *added))
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT,
