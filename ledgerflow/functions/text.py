@@ -22,12 +22,6 @@ def strip_ws(c) -> Column:
     return F.regexp_replace(col_(c), r"(?U)^\s+|\s+$", "")
 
 
-def blank_to_null(c) -> Column:
-    """Null for null, empty or whitespace-only text; trimmed text otherwise."""
-    s = strip_ws(c)
-    return F.when(s == "", F.lit(None).cast("string")).otherwise(s)
-
-
 def clean_description(c) -> Column:
     """F8: drop a leading ``[...]`` tag, digit runs of 10+, squeeze whitespace.
 

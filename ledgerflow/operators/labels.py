@@ -65,10 +65,13 @@ def collapse_rare(df: DataFrame, min_count: int = MIN_SUBCAT_SAMPLES, other: str
     exp = F.col("category") == "EXPENSES"
     counts = (df.where(exp & F.col("sub_category1").isNotNull())
               .groupBy("sub_category1").agg(F.count(F.lit(1)).alias("_n")))
-    rare = counts.where(F.col("_n") < min_count).select("sub_category1", F.lit(True).alias("_rare"))
-    out = df.join(rare, "sub_category1", "left")
+    rare = counts.where(F.col("_n") < min_count).select(F.col("sub_category1").alias("_key"), F.lit(True).alias("_rare"))
+    # rows without a label to look up get one of many keys that match nothing
+    nothing = F.concat(F.lit("\x00"), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(4096)).cast("string"))
+    out = df.withColumn("_key", F.when(exp & F.col("sub_category1").isNotNull(), F.col("sub_category1")).otherwise(nothing))
+    out = out.join(rare, "_key", "left")
     return out.withColumn("sub_category1", F.when(exp & F.coalesce(F.col("_rare"), F.lit(False)), F.lit(other))
-                          .otherwise(F.col("sub_category1"))).drop("_rare").select(*df.columns)
+                          .otherwise(F.col("sub_category1"))).select(*df.columns)
 
 
 def label_vocab(df: DataFrame, label: str) -> DataFrame:
@@ -82,7 +85,7 @@ def label_vocab(df: DataFrame, label: str) -> DataFrame:
 
 def index_labels(df: DataFrame, label: str, vocab: DataFrame) -> DataFrame:
     """Attach the label index; rows with labels outside the vocabulary drop."""
-    return df.join(vocab.withColumnRenamed("label", label), label, "inner")
+    return df.join(vocab.select(F.col("label").alias(label), "idx"), label, "inner")
 
 
 def stage_frames(df: DataFrame) -> tuple[DataFrame, DataFrame]:

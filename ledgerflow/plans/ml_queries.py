@@ -17,7 +17,7 @@ from ..operators.features import HASH_MOD, HASH_MUL, class_weights, numeric_feat
 from ..operators.labels import (collapse_rare, filter_for_training, label_map, label_vocab,
                                 normalize_labels, top_subcategories)
 from ..operators.rules import highlight, review_mask, vendor_mask
-from ..sources.files import read_table
+from .inputs import read_table
 from . import sqlgen as S
 
 # FIXED VALUES: raw label text rendered per part type (exercises the maps).
@@ -193,7 +193,7 @@ def q_stratified_split(spark, sf):
 
 
 def _sql_hash(key):
-    return f"((CAST({key} AS BIGINT) * {HASH_MUL} + {42 * 97}) % {HASH_MOD})"
+    return f"((CAST({key} AS BIGINT) % {HASH_MOD} * {HASH_MUL} + {42 * 97}) % {HASH_MOD})"
 
 
 def sql_stratified_split():
@@ -271,7 +271,7 @@ def sql_class_report():
 
 
 def q_confusion_matrix(spark, sf):
-    return confusion_matrix(_scored_labels(spark, sf), "y_true", "y_pred")
+    return confusion_matrix(_scored_labels(spark, sf), "y_true", "y_pred", ("bad", "good", "toxic"))
 
 
 def sql_confusion_matrix():

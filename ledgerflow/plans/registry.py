@@ -1,17 +1,11 @@
 """All driver queries: name -> (spark_fn(spark, sf_dir), sql_fn() | None)."""
 from __future__ import annotations
 
+from . import io_queries, message_queries, ml_queries, pipeline_queries, rules_queries, statement_queries
+
 
 def all_queries() -> dict:
-    from . import rules_queries
     out = {}
-    out.update(rules_queries.QUERIES)
-    for mod_name in ("statement_queries", "message_queries", "ml_queries", "pipeline_queries"):
-        try:
-            mod = __import__(f"{__package__}.{mod_name}", fromlist=["QUERIES"])
-        except ModuleNotFoundError as e:
-            if e.name and e.name.endswith(mod_name):
-                continue
-            raise
-        out.update(mod.QUERIES)
+    for module in (rules_queries, statement_queries, message_queries, ml_queries, pipeline_queries, io_queries):
+        out.update(module.QUERIES)
     return out

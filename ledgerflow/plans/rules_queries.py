@@ -16,7 +16,7 @@ from ..operators.ingest import dedupe_keep_first, limit_per_file
 from ..operators.rules import apply_rules
 from ..operators.xref import match_transfers
 from ..schema import MONEY, conform, row_position
-from ..sources.files import read_table
+from .inputs import read_table
 from . import sqlgen as S
 
 DOC_BANKS = SOURCE_VOCAB + ("Other",)
@@ -219,11 +219,9 @@ def events_ledger(spark, sf, with_provenance: bool = True) -> DataFrame:
     return conform(led, keep=["row_id"])
 
 
-def q_transfer_rules(spark, sf, known_inline_limit=None):
+def q_transfer_rules(spark, sf):
     led = events_ledger(spark, sf, with_provenance=False)
-    kwargs = {} if known_inline_limit is None else {"known_inline_limit": known_inline_limit}
-    r = apply_rules(led, events_index(spark, sf, with_customer=True), known_from_customers(spark, sf),
-                    **kwargs)
+    r = apply_rules(led, events_index(spark, sf, with_customer=True), known_from_customers(spark, sf))
     return r.select(F.col("row_id").alias("event_id"), "category", "decision_source", "account_lean",
                     "unresolved", "note")
 

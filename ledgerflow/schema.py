@@ -76,7 +76,8 @@ MESSAGES_SCHEMA = T.StructType([
 
 
 def conform(df: DataFrame, columns=LEDGER_COLUMNS, types=None, keep=()) -> DataFrame:
-    """Add missing ledger columns as typed nulls and fix the column order.
+    """Add missing ledger columns as typed nulls, cast the others (what does not
+    parse is null) and fix the column order.
 
     ``keep`` names extra columns (provenance, predictions) carried after the
     ledger columns.
@@ -86,16 +87,9 @@ def conform(df: DataFrame, columns=LEDGER_COLUMNS, types=None, keep=()) -> DataF
     cols: list[Column] = []
     for c in columns:
         if c in have:
-            cols.append(F.col(c).cast(types[c]).alias(c))
+            cols.append(F.col(c).try_cast(types[c]).alias(c))
         else:
             cols.append(F.lit(None).cast(types[c]).alias(c))
     cols += [F.col(k) for k in keep if k in have]
     return df.select(*cols)
 
-
-def empty_ledger(spark) -> DataFrame:
-    return spark.createDataFrame([], LEDGER_SCHEMA)
-
-
-def conform_records(df: DataFrame, keep=()) -> DataFrame:
-    return conform(df, RECORD_COLUMNS, _RECORD_TYPES, keep)

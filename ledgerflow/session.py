@@ -7,7 +7,8 @@ is read from the session and only set when it is missing (tests, local runs).
 """
 from __future__ import annotations
 
-import os
+
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,17 +50,17 @@ def apply_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Reads ``spark.checkpoint.dir`` from the session. Only when it is unset
-    (local tests) a folder is created and registered, so cluster jobs always
-    cut lineage into the shared storage the cluster names.
+    Reads ``spark.checkpoint.dir`` from the session. Only when it is unset and the
+    master is plain ``local`` (tests, bench) a folder is created and registered; on a
+    cluster the setting is required.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        d = tempfile.mkdtemp(prefix="ledgerflow-ckpt-")  # local runs and tests only
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        d = tempfile.mkdtemp(prefix="ledgerflow-ckpt-")  # driver and executor are one process here
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
@@ -69,7 +70,3 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
-
-
-def env_master(default_cpus: str = "8") -> str:
-    return f"local[{os.environ.get('BENCH_CPUS', default_cpus)}]"

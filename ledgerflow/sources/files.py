@@ -1,151 +1,145 @@
 """Scans and sinks (S1-S16): statement and mail CSVs, transfer index, known
-contacts, line/word/message tables, and writers.
+contacts, labelled ledgers, and writers.
 
-Readers keep provenance: ``file`` (file name), ``row_no`` (block start of the
-split, then the row id inside it) so "first row" decisions follow file order
-even when a file is split over many partitions.
+CSV files name their columns themselves: every file of a scan may have its own
+header, in its own order. One scan reads all files by position; the first row of each
+file is its header (a row per file), and joined back to the file's rows it turns
+names into positions. Files that lack a required column, and files that cannot be
+read, go to a dead-letter table of file and reason; the others are not touched by it.
+
+Readers keep provenance: ``file`` (the full path) and ``row_no`` (block start of the
+split, then the row id inside it), so "first row" decisions follow file order even
+when a file is split over many partitions.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import norm, strip_ws
+from ..functions.text import strip_ws
 from ..operators.ingest import records_to_ledger, source_from_filename, statement_to_ledger
-from ..schema import KNOWN_CONTACTS_SCHEMA, MONEY, TRANSFER_INDEX_SCHEMA
+from ..schema import KNOWN_CONTACTS_SCHEMA, MONEY, RECORD_COLUMNS, row_position
 
-STATEMENT_5 = T.StructType([T.StructField(n, T.StringType()) for n in
-                            ("TRANS DATE", "POSTING DATE", "DESCRIPTION", "AMOUNT", "CARD TYPE")])
-STATEMENT_4 = T.StructType([T.StructField(n, T.StringType()) for n in
-                            ("TRANS DATE", "DESCRIPTION", "AMOUNT", "CARD TYPE")])
-FOUR_COLUMN_SOURCES = ("BMO_CK", "Tangerine")
+MAX_COLUMNS = 64  # cells kept of a CSV row
 
+# Header names of each field, first match wins; lower case.
+STATEMENT_FIELDS = {"trans_date": ("trans date",), "posting_date": ("posting date",), "description": ("description",),
+                    "amount": ("amount",), "card_type": ("card type",)}
+STATEMENT_REQUIRED = ("trans_date", "description", "amount", "card_type")
+RECORD_FIELDS = {c: (c,) for c in RECORD_COLUMNS}
+RECORD_REQUIRED = ("date",)
+TRANSFER_FIELDS = {"date": ("date",), "direction": ("direction", "transfer_type"), "amount": ("amount",),
+                   "contact": ("contact", "interactor")}
+CONTACT_FIELDS = {"contact": ("contact",), "lean": ("lean",)}
+
+
+@dataclass
+class CsvScan:
+    """Rows of the files that fit, and (file, reason) of those that don't."""
+    rows: DataFrame
+    rejected: DataFrame
 
-def with_provenance(df: DataFrame) -> DataFrame:
-    """Add ``file`` and ``row_no`` from the scan's hidden metadata."""
-    return (df.withColumn("file", F.col("_metadata.file_name"))
-              .withColumn("row_no", F.struct(F.col("_metadata.file_block_start").alias("block"),
-                                             F.monotonically_increasing_id().alias("id"))))
 
+def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition when a scan yields fewer partitions than the
-    cluster has cores (a small file with one row group is one task, and the
-    per-row regex work after it would run on one core). At scale, scans have
-    far more partitions than cores and this is a no-op. The round-robin
-    exchange sorts before distributing, so task retries see the same rows."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
+def with_provenance(df: DataFrame) -> DataFrame:
+    """Add ``file`` (full path) and ``row_no`` from the scan's hidden metadata."""
+    return (df.withColumn("file", F.col("_metadata.file_path"))
+              .withColumn("row_no", row_position(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())))
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if spread_rows else df
 
+def scan_csv(spark: SparkSession, paths, fields: dict[str, tuple[str, ...]], required=(), comment: str | None = None,
+             multi_line: bool = False) -> CsvScan:
+    """Rows (one string column per field, ``file``, ``row_no``) of CSV files that
+    each have their own header. ``multi_line`` lets quoted cells hold line ends (a
+    file is then read by one task)."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    schema = T.StructType([T.StructField(f"_c{k}", T.StringType()) for k in range(MAX_COLUMNS)])
+    reader = (spark.read.schema(schema).option("mode", "PERMISSIVE").option("multiLine", str(multi_line).lower())
+              .option("escape", '"').option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true"))
+    if comment:
+        reader = reader.option("comment", comment)
+    read = reader.csv(paths)
+    cells = with_provenance(read).select("file", "row_no", F.array(*schema.names).alias("cells"))
+    clean = lambda c: F.lower(strip_ws(F.regexp_replace(F.coalesce(c, F.lit("")), "^\ufeff", "")))
+    heads = (cells.groupBy("file").agg(F.min("row_no").alias("first"), F.min_by("cells", "row_no").alias("head"))
+             .select("file", "first", F.transform("head", clean).alias("head")))
+
+    def place(names):  # position of the first of the names that the header has
+        at = [F.nullif(F.array_position("head", F.lit(n)), F.lit(0).cast("long")) for n in names]
+        return F.coalesce(*at, F.lit(None).cast("long"))
+
+    heads = heads.select("file", "first", *[place(names).alias(f"_at_{f}") for f, names in fields.items()])
+    lacks = F.filter(F.array(*[F.when(F.col(f"_at_{f}").isNull(), F.lit(f)) for f in required]).cast("array<string>"),
+                     lambda c: c.isNotNull())
+    heads = heads.withColumn("_lacks", lacks)
+    rows = (cells.join(heads.where(F.size("_lacks") == 0), "file").where(F.col("row_no") != F.col("first"))
+            .select(*[F.when(F.col(f"_at_{f}").isNotNull(), F.try_element_at("cells", F.col(f"_at_{f}").cast("int"))).alias(f)
+                      for f in fields], "file", "row_no"))
+    listed = spark.createDataFrame([(f,) for f in read.inputFiles()], "file string")  # the names of the scan's own listing
+    found = heads.select("file", F.concat(F.lit("no column "), F.array_join("_lacks", ", ")).alias("reason"),
+                         (F.size("_lacks") == 0).alias("fits"))
+    rejected = (listed.join(found, "file", "left").where(~F.coalesce("fits", F.lit(False)))
+                .select("file", F.coalesce("reason", F.lit("empty or unreadable")).alias("reason")))
+    return CsvScan(rows, rejected)
+
+
+def read_statement_csv(spark: SparkSession, paths, cfg=None, source_of=source_from_filename) -> CsvScan:
+    """Statement CSVs -> ledger rows + provenance, columns by header name;
+    the posting date is null where a file has none."""
+    from ..config import DEFAULT
+    scan = scan_csv(spark, paths, STATEMENT_FIELDS, STATEMENT_REQUIRED)
+    return CsvScan(statement_to_ledger(scan.rows, source_of(F.col("file")), cfg or DEFAULT), scan.rejected)
 
-def _csv(spark, paths, schema=None, **opts) -> DataFrame:
-    r = spark.read.option("header", "true").option("mode", "PERMISSIVE")
-    for k, v in opts.items():
-        r = r.option(k, v)
-    if schema is not None:
-        r = r.schema(schema)
-    return r.csv(list(paths) if not isinstance(paths, str) else paths)
 
+def read_records_csv(spark: SparkSession, paths) -> CsvScan:
+    """Combined mail-record CSVs -> ledger rows; absent columns are null,
+    dates and numbers that do not parse are null."""
+    scan = scan_csv(spark, paths, RECORD_FIELDS, RECORD_REQUIRED, multi_line=True)
+    return CsvScan(records_to_ledger(scan.rows), scan.rejected)
 
-def read_statement_csv(spark: SparkSession, paths, cfg=None) -> DataFrame:
-    """Statement CSVs (4 or 5 columns by bank) -> ledger rows + provenance.
 
-    Files are grouped by the column layout their name implies and each group
-    is one scan; the groups are unioned.
-    """
-    from ..config import DEFAULT
-    cfg = cfg or DEFAULT
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    four = [p for p in paths if any(p.rsplit("/", 1)[-1].startswith(s) for s in FOUR_COLUMN_SOURCES)]
-    five = [p for p in paths if p not in four]
-    parts = []
-    for group, schema in ((five, STATEMENT_5), (four, STATEMENT_4)):
-        if not group:
-            continue
-        raw = with_provenance(_csv(spark, group, schema))
-        rows = raw.select(F.col("TRANS DATE").alias("trans_date"),
-                          *([F.col("POSTING DATE").alias("posting_date")] if "POSTING DATE" in raw.columns else []),
-                          F.col("DESCRIPTION").alias("description"), F.col("AMOUNT").alias("amount"),
-                          F.col("CARD TYPE").alias("card_type"), "file", "row_no")
-        parts.append(statement_to_ledger(rows, source_from_filename(F.col("file")), cfg))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def read_records_csv(spark: SparkSession, paths) -> DataFrame:
-    """Combined mail-record CSVs -> ledger rows; absent columns are null."""
-    raw = with_provenance(_csv(spark, paths))
-    renamed = raw.select(*[F.col(f"`{c}`").alias(c.lower()) for c in raw.columns
-                           if c not in ("file", "row_no")], "file", "row_no")
-    return records_to_ledger(renamed)
-
-
-def transfer_index_from(df: DataFrame, ordinal_base=0) -> DataFrame | None:
-    """S6 for one table: resolve column aliases case-insensitively; ``None``
-    when one of date / direction / amount / contact is missing."""
-    cols = {c.lower(): c for c in df.columns}
-    date_c = cols.get("date")
-    dir_c = cols.get("direction") or cols.get("transfer_type")
-    amt_c = cols.get("amount")
-    con_c = cols.get("contact") or cols.get("interactor")
-    if not (date_c and dir_c and amt_c and con_c):
-        return None
-    d = F.lower(strip_ws(F.col(f"`{dir_c}`").cast("string")))
+def utc_timestamp(c: Column) -> Column:
+    """Text -> timestamp_ntz in UTC: a time with an offset is converted, one without
+    is taken as it stands; null when it does not parse."""
+    t = strip_ws(c)
+    zoned = t.rlike(r"\d:\d{2}.*([Zz]|UTC|GMT|[+-]\d{2}:?\d{2})$")
+    moved = F.convert_timezone(F.current_timezone(), F.lit("UTC"), t.try_cast("timestamp").cast("timestamp_ntz"))
+    return F.when(zoned, moved).otherwise(t.try_cast("timestamp_ntz"))
+
+
+def transfer_rows(df: DataFrame, ordinal: Column) -> DataFrame:
+    """S6 for rows with date, direction, amount, contact as text."""
+    d = F.lower(strip_ws(F.col("direction").cast("string")))
     d = F.when(d == "sending", F.lit("sent")).when(d == "receiving", F.lit("received")).otherwise(d)
-    amount = F.abs(strip_ws(F.col(f"`{amt_c}`").cast("string")).try_cast("double")).cast(MONEY)
-    date = F.coalesce(F.col(f"`{date_c}`").cast("string").try_cast("timestamp_ntz"),
-                      F.try_to_timestamp(F.col(f"`{date_c}`").cast("string")).cast("timestamp_ntz"))
-    order = F.col("row_no") if "row_no" in df.columns else F.monotonically_increasing_id()
-    out = df.select(F.struct(F.lit(ordinal_base).alias("file_idx"), order.alias("row")).alias("ordinal"),
-                    date.alias("date"),
-                    d.alias("direction"), amount.alias("amount"),
-                    F.col(f"`{con_c}`").cast("string").alias("contact"))
-    return out.where(F.col("amount").isNotNull())
-
-
-def load_transfer_index(spark: SparkSession, paths) -> DataFrame:
-    """Transfer index over all readable files in order; empty (not
-    ``None``) when nothing qualifies. ``ordinal`` follows (file order, row)."""
-    parts = []
-    for i, p in enumerate([paths] if isinstance(paths, str) else list(paths)):
-        try:
-            raw = with_provenance(_csv(spark, p))
-        except Exception:  # unreadable file: skipped as a whole
-            continue
-        t = transfer_index_from(raw, i)
-        if t is not None:
-            parts.append(t)
-    if not parts:
-        return spark.createDataFrame([], TRANSFER_INDEX_SCHEMA)
-    out = parts[0]
-    for q in parts[1:]:
-        out = out.unionByName(q)
-    # ``ordinal`` is the sortable (file position, row position) struct: no
-    # global numbering pass (which would run in a single task).
-    return out.select("ordinal", "date", "direction", "amount", "contact")
+    amount = F.abs(strip_ws(F.col("amount").cast("string")).try_cast(MONEY))
+    date = F.col("date") if isinstance(df.schema["date"].dataType, (T.TimestampNTZType, T.DateType)) else \
+        utc_timestamp(F.col("date").cast("string"))
+    return (df.select(ordinal.alias("ordinal"), date.cast("timestamp_ntz").alias("date"), d.alias("direction"),
+                      amount.alias("amount"), F.col("contact").cast("string").alias("contact"))
+            .where(F.col("amount").isNotNull()))
+
+
+def load_transfer_index(spark: SparkSession, paths) -> CsvScan:
+    """Transfer index over all files in the order of their paths. ``ordinal`` is
+    the sortable (file, row position) struct: no global numbering pass. Files
+    without the four columns are rejected as a whole."""
+    scan = scan_csv(spark, paths, TRANSFER_FIELDS, tuple(TRANSFER_FIELDS))
+    return CsvScan(transfer_rows(scan.rows, F.struct("file", "row_no")), scan.rejected)
 
 
 def load_known_contacts(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with ``#`` comment lines; missing file -> empty table."""
-    try:
-        raw = with_provenance(_csv(spark, path, comment="#"))
-        raw.schema  # noqa: B018  (forces the header read)
-    except Exception:
-        return spark.createDataFrame([], KNOWN_CONTACTS_SCHEMA)
-    cols = {c.lower(): c for c in raw.columns}
-    if "contact" not in cols or "lean" not in cols:
+    """CSV with ``#`` comment lines; missing or unfit file -> empty table."""
+    if not path_exists(spark, path):
         return spark.createDataFrame([], KNOWN_CONTACTS_SCHEMA)
-    return raw.select(F.col("row_no").alias("ordinal"),
-                      F.col(f"`{cols['contact']}`").alias("contact"),
-                      F.col(f"`{cols['lean']}`").alias("lean"))
+    rows = scan_csv(spark, path, CONTACT_FIELDS, tuple(CONTACT_FIELDS), comment="#").rows
+    return rows.select(F.struct("file", "row_no").alias("ordinal"), "contact", "lean")
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists",
@@ -165,34 +159,31 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "err
 
 def safe_for_path(s: str) -> str:
     """Characters outside ``[A-Za-z0-9._-]`` become ``_``."""
-    import re
     return re.sub(r"[^A-Za-z0-9._\-]", "_", s)
 
 
-def mail_output_stem(since, until) -> str:
-    return safe_for_path(f"email_records_{since.isoformat()}_{until.isoformat()}")
+def write_records(df: DataFrame, root: str, since, until, fmt: str = "csv", mode: str = "errorifexists") -> str:
+    """Mail records under a folder named by their date range."""
+    path = f"{root.rstrip('/')}/{safe_for_path(f'email_records_{since.isoformat()}_{until.isoformat()}')}"
+    write_table(df, path, fmt, mode)
+    return path
+
+
+def _glob(spark: SparkSession, pattern: str) -> list[str]:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(str(s.getPath()) for s in (fs.globStatus(path) or []))
 
 
-def lower_name(c):
-    return norm(c)
+def path_exists(spark: SparkSession, path: str) -> bool:
+    return bool(_glob(spark, path))
 
 
 def resolve_sources(spark: SparkSession, pattern: str, fallback: str | None = None) -> list[str]:
     """Files matching ``pattern`` (sorted) if any, else the fallback file
     if it exists, else nothing. Lists names only; no data reaches the driver."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(pattern)
-    fs = path.getFileSystem(conf)
-    found = fs.globStatus(path)
-    names = sorted(str(s.getPath()) for s in (found or []))
-    if names:
-        return names
-    if fallback:
-        fp = jvm.org.apache.hadoop.fs.Path(fallback)
-        if fp.getFileSystem(conf).exists(fp):
-            return [fallback]
-    return []
+    names = _glob(spark, pattern)
+    return names or ([fallback] if fallback and path_exists(spark, fallback) else [])
 
 
 def read_labelled(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

@@ -96,11 +96,11 @@ def test_collapse_rare(spark):
 def test_split_and_weights(spark):
     rows = [(i, "a" if i % 3 else "b") for i in range(300)]
     df = spark.createDataFrame(rows, "id long, y string")
-    s = stratified_split(df, "y", "id", buckets=8)
+    s = stratified_split(df, "y", "id", bucket_rows=40)
     c = {(r.y, r.split): r["count"] for r in s.groupBy("y", "split").count().collect()}
     assert (c[("a", "train")], c[("a", "val")], c[("a", "test")]) == (160, 20, 20)
     assert (c[("b", "train")], c[("b", "val")], c[("b", "test")]) == (80, 10, 10)
-    again = stratified_split(df, "y", "id", buckets=64)
+    again = stratified_split(df, "y", "id", bucket_rows=5)
     assert sorted(s.select("id", "split").collect()) == sorted(again.select("id", "split").collect())
     w = {r.y: r.weight for r in class_weights(s.where("split = 'train'"), "y").collect()}
     assert abs(w["a"] - (240 / (2 * 160)) ** 0.5) < 1e-12 and abs(w["b"] - (240 / (2 * 80)) ** 0.5) < 1e-12
@@ -124,3 +124,33 @@ def test_char_noise_deterministic(spark):
     a = df.select(char_noise(F.col("t"), F.col("k"), rate=0.3).alias("n")).collect()
     b = df.select(char_noise(F.col("t"), F.col("k"), rate=0.3).alias("n")).collect()
     assert a == b and a[0].n != "interac e-transfer received" * 3 and a[1].n is None
+
+
+def test_char_noise_is_the_rule(spark):
+    """Swap with the character put out before, delete or keep, drawn per position."""
+    from ledgerflow.operators.features import HASH_MOD, HASH_MUL, NOISE_MUL
+    rate, seed = 0.4, 42
+    texts = ["interac e-transfer", "a", "", "naïve 𝄞 clef\nline", "x" * 300, "abcdefghijklmnopqrstuvwxyz" * 4]
+
+    def plain(text, key):
+        out, h = [], (key % HASH_MOD * HASH_MUL + seed * 97) % HASH_MOD
+        for i, c in enumerate(text):
+            u = (h + (i + 1) * NOISE_MUL * NOISE_MUL) % HASH_MOD * NOISE_MUL % HASH_MOD
+            drawn = u % 3 if u < int(rate * HASH_MOD) else 2
+            if drawn == 0 and out:
+                out.insert(len(out) - 1, c)
+            elif drawn != 1:
+                out.append(c)
+        return "".join(out)
+
+    rows = [(k, t) for k, t in enumerate(texts * 5, start=2 ** 33)]
+    df = spark.createDataFrame(rows, "k long, t string")
+    got = {r.k: r.n for r in df.select("k", char_noise(F.col("t"), F.col("k"), rate, seed).alias("n")).collect()}
+    assert got == {k: plain(t, k) for k, t in rows}
+
+
+def test_split_of_large_and_negative_keys(spark):
+    """Keys beyond 2^33, as monotonically_increasing_id makes them, do not overflow."""
+    rows = [(k * 2 ** 33 + j, "a") for k in range(-3, 7) for j in range(20)]
+    s = stratified_split(spark.createDataFrame(rows, "id long, y string"), "y", "id")
+    assert {r.split: r["count"] for r in s.groupBy("split").count().collect()} == {"train": 160, "val": 20, "test": 20}
