@@ -85,7 +85,9 @@ def scan_csv(spark: SparkSession, paths, fields: dict[str, tuple[str, ...]], req
     listed = spark.createDataFrame([(f,) for f in read.inputFiles()], "file string")  # the names of the scan's own listing
     found = heads.select("file", F.concat(F.lit("no column "), F.array_join("_lacks", ", ")).alias("reason"),
                          (F.size("_lacks") == 0).alias("fits"))
-    rejected = (listed.join(found, "file", "left").where(~F.coalesce("fits", F.lit(False)))
+    same = lambda c: F.regexp_replace(c, ":/+", ":/")  # noqa: E731  file:/x and file:///x are one path
+    rejected = (listed.join(found.withColumnRenamed("file", "at"), same(F.col("file")) == same(F.col("at")), "left")
+                .where(~F.coalesce("fits", F.lit(False)))
                 .select("file", F.coalesce("reason", F.lit("empty or unreadable")).alias("reason")))
     return CsvScan(rows, rejected)
 
