@@ -30,6 +30,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tidy(task):
+    """An Arrow task that gives freed memory back to the system at its end: workers
+    live on, and several stages of a job share them."""
+    import pyarrow as pa
+
+    def run(batches):
+        yield from task(batches)
+        pa.default_memory_pool().release_unused()
+
+    return run
+
+
 def id_mod(doc_id: Column | str, n: int) -> Column:
     """crc32 of the id as text, modulo ``n`` (a null id counts as '')."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

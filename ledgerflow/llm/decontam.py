@@ -33,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import tidy
+
 K1, B = 1.2, 0.75  # fixed values of BM25
 THRESHOLD = 0.6
 OVERLAP = 0.8
@@ -251,7 +253,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD)
                 cols = list(zip(*found)) or [()] * len(names)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
 
-        got = rows.mapInArrow(task, LEAKS)
+        got = rows.mapInArrow(tidy(task), LEAKS)
         out = got if out is None else out.unionByName(got)
     return out
 
@@ -268,5 +270,5 @@ def clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> Da
                 keep = [not index.leaks(t) for t in batch.column("text").to_pylist()]
                 yield batch.filter(pa.array(keep, pa.bool_()))
 
-        docs = docs.mapInArrow(task, docs.schema)
+        docs = docs.mapInArrow(tidy(task), docs.schema)
     return docs

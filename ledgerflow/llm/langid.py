@@ -28,13 +28,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import id_mod
+from .common import id_mod, tidy
 
 SAMPLE_DOCS = 64
 SAMPLE_BYTES = 1 << 15
 BLOCK = 1024
 UNKNOWN = "und"
-LANES = 1 << 15  # blocks parsed side by side
+LANES = 1 << 14  # blocks parsed side by side
 
 
 def letters(text: Column) -> Column:
@@ -179,29 +179,37 @@ def _parser(samples: dict[str, bytes]) -> Parser:
     return _PARSERS[key]
 
 
-def predict(docs: DataFrame, samples: dict[str, bytes]) -> DataFrame:
-    """``docs`` with lang_pred, score and bits_per_byte (of the winning language)."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(samples)  # SAMPLE_BYTES a language
-    clash = {"lang_pred", "score", "bits_per_byte", "_letters"}
-    keep = [F.col(f"`{c}`") for c in docs.columns if c not in clash]
-    rows = docs.select(*keep, F.when(F.col("text").rlike(r"\p{L}"), letters(F.col("text"))).otherwise("").alias("_letters"))
+def _parsed(rows: DataFrame, samples: dict[str, bytes], added: list, only_known: bool) -> DataFrame:
+    """``rows`` without ``_letters``; with the columns ``added``, of lang_pred, score and
+    bits_per_byte; without the rows of unknown language if ``only_known``."""
+    shared = rows.sparkSession.sparkContext.broadcast(samples)  # SAMPLE_BYTES a language
     fields = [f for f in rows.schema.fields if f.name != "_letters"]
-    schema = T.StructType(fields + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
-                                    T.StructField("bits_per_byte", T.DoubleType())])
+    schema = T.StructType(fields + added)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = _parser(shared.value)
         for batch in batches:
             for lo in range(0, batch.num_rows, 2048):
                 part = batch.slice(lo, 2048)
-                texts = part.column("_letters").cast(pa.binary()).to_pylist()
-                lang, score, rate = parser.predict(texts)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(f.name) for f in fields] + [pa.array(lang, pa.string()), pa.array(score), pa.array(rate)],
-                    [f.name for f in schema.fields])
+                lang, score, rate = parser.predict(part.column("_letters").cast(pa.binary()).to_pylist())
+                got = {"lang_pred": pa.array(lang, pa.string()), "score": pa.array(score), "bits_per_byte": pa.array(rate)}
+                out = pa.RecordBatch.from_arrays([part.column(k) for k in range(len(fields))] + [got[f.name] for f in added],
+                                                 schema.names)
+                yield out.filter(pa.array([x != UNKNOWN for x in lang])) if only_known else out
+
+    return rows.mapInArrow(tidy(task), schema)
+
 
-    return rows.mapInArrow(task, schema)
+def _only_letters(text: Column) -> Column:
+    return F.when(text.rlike(r"\p{L}"), letters(text)).otherwise("").alias("_letters")
+
+
+def predict(docs: DataFrame, samples: dict[str, bytes]) -> DataFrame:
+    """``docs`` with lang_pred, score and bits_per_byte (of the winning language)."""
+    added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
+             T.StructField("bits_per_byte", T.DoubleType())]
+    keep = [F.col(f"`{c}`") for c in docs.columns if c not in {"_letters", *(f.name for f in added)}]
+    return _parsed(docs.select(*keep, _only_letters(F.col("text"))), samples, added, False)
 
 
 def learn(docs: DataFrame) -> dict[str, bytes]:
@@ -212,6 +220,5 @@ def learn(docs: DataFrame) -> dict[str, bytes]:
 def known_language(docs: DataFrame) -> DataFrame:
     """``docs`` without those whose text has no language (null, or no letter)."""
     names = [f"c{k}" for k in range(len(docs.columns))]  # whatever the columns are called, they come back as they were
-    plain = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names)], F.col("text").alias("text"))
-    found = predict(plain, learn(docs)).where(F.col("lang_pred") != UNKNOWN)
-    return found.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names)])
+    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names)], _only_letters(F.col("text")))
+    return _parsed(rows, learn(docs), [], True).toDF(*docs.columns)

@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import tidy
+
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = BASE_KINDS + ("id_number", "name", "secret")
 ACCEPT = 0.9
@@ -199,7 +201,7 @@ def learn(docs: DataFrame) -> dict[str, float]:
                 [k[1] for k in keys], pa.string()), pa.array([seen[k] for k in keys], pa.int64())],
                 ["votes", "features", "n"])
 
-    rows = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(task, "votes string, features string, n long")
+    rows = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(tidy(task), "votes string, features string, n long")
     # as many rows as there are vote patterns and feature bins, whatever the corpus's size
     counts = [tuple(r) for r in rows.groupBy("votes", "features").agg(F.sum("n").alias("n")).orderBy(
         "votes", "features").collect()]
@@ -239,7 +241,7 @@ def find(docs: DataFrame, weights: dict[str, float]) -> DataFrame:
                  pa.array([hashlib.sha256(b.encode()).hexdigest() for b in base], pa.string()),
                  pa.array([joined(f) for f in found], pa.string())], [f.name for f in schema.fields])
 
-    return rows.mapInArrow(task, schema)
+    return rows.mapInArrow(tidy(task), schema)
 
 
 def mask(text: str, found: list[tuple[str, int, int]]) -> str:
@@ -262,6 +264,6 @@ def masked(docs: DataFrame, weights: dict[str, float]) -> DataFrame:
             at = batch.schema.get_field_index("text")
             yield batch.set_column(at, batch.schema.field(at), pa.array(new, batch.schema.field(at).type))
 
-    out = docs.mapInArrow(task, docs.schema)
+    out = docs.mapInArrow(tidy(task), docs.schema)
     return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) \
         if "n_chars" in docs.columns else out
