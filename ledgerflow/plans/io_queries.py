@@ -18,7 +18,7 @@ from ..operators.features import HASH_MOD, HASH_MUL, NOISE_MUL, char_noise
 from ..operators.labels import category_counts, collapse_rare, index_labels, label_vocab
 from ..operators.messages import csv_rows
 from ..schema import MONEY
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, cut_lineage
 from ..sources.files import load_known_contacts, load_transfer_index, read_records_csv, read_statement_csv
 from . import sqlgen as S
 from .inputs import read_table
@@ -188,7 +188,7 @@ def all_statement_lines(spark, sf):
 
 
 def q_all_statements(spark, sf):
-    rows = extract_statements(all_statement_lines(spark, sf), source_from_file=True)
+    rows = extract_statements(cut_lineage(all_statement_lines(spark, sf)), source_from_file=True)
     return rows.select("file", "source", "description", F.date_format("date", "yyyy-MM-dd").alias("date"), "year", "month",
                        *[F.col(c).cast("double").alias(c) for c in ("amount", "debit", "credit")])
 
