@@ -347,6 +347,29 @@ def test_scores_do_not_hang_on_buckets_or_batches(spark, monkeypatch):
         assert abs(r.score - o.score) < 0.02 * abs(o.score) + 0.5
 
 
+def test_seats_take_exact_totals_in_every_bucket(spark, monkeypatch):
+    """A very frequent word in one bucket must not blow up the totals the others use."""
+    rare = [(i, f"a{i % 40} b{i % 7} a{i % 40} c{i % 11}") for i in range(300)]
+    df = spark.createDataFrame([*rare, *[(1000 + i, "the the the the " * 20) for i in range(60)]], "doc_id long, text string")
+    held = F.col("doc_id") % 5 == 0
+    one = {r.doc_id: r for r in pitman_yor.score(df, held).collect()}
+    seen = []
+    real = pitman_yor.materialise
+    monkeypatch.setattr(pitman_yor, "materialise", lambda d, name: seen.append((name, real(d, name))) or seen[-1][1])
+    monkeypatch.setattr(pitman_yor, "BUCKET_BYTES", 300)
+    many = pitman_yor.score(df, held).collect()
+    for part in (range(300), range(1000, 1060)):  # all draws together: a text's own score is noisy
+        a, b = (sum(x[k].score for k in part) for x in (one, {r.doc_id: r for r in many}))
+        assert abs(a - b) < 0.01 * abs(a)
+    states = [d for name, d in seen if name == "lm-seats"]
+    assert len(states) == 1 + pitman_yor.BURN_IN + pitman_yor.SAMPLES and states[0].count() > 20
+    # the totals are the sum over the buckets: as many parent's customers as tables in all contexts
+    for d in states:
+        per = [np.frombuffer(bytes(r.totals), np.int64) for r in d.collect()]
+        total = sum(p[:pitman_yor.CONTEXTS + 2] for p in per)
+        assert total[:pitman_yor.CONTEXTS].sum() == total[pitman_yor.CONTEXTS] >= total[pitman_yor.CONTEXTS + 1] > 0
+
+
 def test_tables_follow_their_conditional():
     """Two customers share a table with the odds of the restaurant process."""
     rng = np.random.default_rng(1)
