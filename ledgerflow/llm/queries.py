@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontam, langid, merkle, mixing, pii, pitman_yor, simhash, suffix_dedup, toxicity, warc
+from . import (bottomk, decontam, divergence, langid, merkle, mixing, pii, pitman_yor, simhash, suffix_dedup, toxicity,
+               valuedict, warc)
 from .common import hex64, id_mod, table
 
 
@@ -158,6 +159,83 @@ def op10_toxicity(spark, sf_dir):
                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_bottomk(spark, sf_dir):
+    return bottomk.near_groups(table(spark, sf_dir, "documents"))
+
+
+def op12_divergence(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+# the group's and the language's p are restated from plain counts, pair by pair and term by term
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS row_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+             regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+t AS (SELECT lang, source, row_id, unnest(ts) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM t GROUP BY ALL HAVING count(DISTINCT row_id) >= %(min_docs)d),
+langs AS (SELECT lang, count(*) AS v, sum(n)::BIGINT AS total FROM kept GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM d),
+held AS (SELECT t.lang, t.source, t.term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+totals AS (SELECT lang, source, sum(n)::BIGINT AS total FROM held GROUP BY ALL),
+p AS (SELECT g.lang, g.source, k.term, coalesce(h.n, 0) AS n,
+        1 + 1000000000 * (coalesce(h.n, 0) + 5) // (coalesce(s.total, 0) + 5 * l.v) AS p,
+        1 + 1000000000 * (k.n + 5) // (l.total + 5 * l.v) AS q
+      FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang)
+      LEFT JOIN totals s USING (lang, source) LEFT JOIN held h ON h.lang = g.lang AND h.source = g.source AND h.term = k.term),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(f.v, 0) AS value FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p))::BIGINT AS v
+             FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL) f
+    ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value::BIGINT AS value FROM pairs
+  UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE n > 0 AND p > q)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM ranked)
+WHERE part = 'pair' OR rank <= %(top)d""" % {"min_docs": divergence.MIN_DOCS, "top": divergence.TOP_TERMS}
+
+
+def op13_valuedict(spark, sf_dir):
+    coded, books = valuedict.compress(table(spark, sf_dir, "embeddings"))
+    return valuedict.with_label_error(coded).select(
+        F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(books.digest() if books else "").alias("codebooks_sha256"))
+
+
+def _op13_sql() -> str:
+    """The rounds as one chain of plain joins: every part against every entry."""
+    n_parts, n_entries, scale = valuedict.PARTS, valuedict.ENTRIES, valuedict.SCALE
+    rounds = []
+    total, n = "sum(x.x)::BIGINT", "count(*)"
+    down = f"({total} - (({total} % {n}) + {n}) % {n}) // {n}"  # integer division that goes down
+    for r in range(valuedict.ROUNDS + 1):
+        last = r == valuedict.ROUNDS
+        rounds.append(f"""far{r} AS MATERIALIZED (
+  SELECT row_id, part, min(far * {n_entries} + entry) AS best FROM (
+    SELECT x.row_id, x.part, e.entry, sum((x.x - e.x) * (x.x - e.x))::BIGINT AS far
+    FROM comps x JOIN book{r} e ON x.part = e.part AND x.pos = e.pos GROUP BY ALL) GROUP BY ALL)""")
+        if not last:
+            rounds.append(f"""book{r + 1} AS MATERIALIZED (
+  SELECT e.part, e.entry, e.pos, coalesce(s.x, e.x) AS x FROM book{r} e LEFT JOIN (
+    SELECT x.part, f.best % {n_entries} AS entry, x.pos, {down} AS x
+    FROM comps x JOIN far{r} f ON x.row_id = f.row_id AND x.part = f.part GROUP BY ALL) s
+  ON s.part = e.part AND s.entry = e.entry AND s.pos = e.pos)""")
+    chain = ",\n".join(rounds)
+    f, b = f"far{valuedict.ROUNDS}", f"book{valuedict.ROUNDS}"
+    return f"""
+WITH kept AS (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS row_id, vec_id, label, embedding FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+comps AS MATERIALIZED (
+  SELECT row_id, (i - 1) // (n // {n_parts}) AS part, (i - 1) % (n // {n_parts}) AS pos, floor({scale} * embedding[i]::DOUBLE)::BIGINT AS x
+  FROM (SELECT row_id, embedding, len(embedding) AS n, unnest(range(1, len(embedding) + 1)) AS i FROM kept)),
+book0 AS MATERIALIZED (SELECT part, row_id - 1 AS entry, pos, x FROM comps WHERE row_id <= {n_entries}),
+{chain},
+coded AS (SELECT row_id, string_agg(lpad(lower(to_hex(best % {n_entries})), 2, '0'), '' ORDER BY part) AS code,
+            sum(best // {n_entries})::BIGINT AS error FROM {f} GROUP BY ALL),
+labelled AS (SELECT k.vec_id, k.label, c.code, c.error FROM kept k JOIN coded c USING (row_id))
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, entry, pos)) FROM {b}) AS codebooks_sha256
+FROM labelled"""
+
+
 QUERIES = {
     "op1_pii": (op1_pii, None),
     "op2_langid": (op2_langid, None),
@@ -169,4 +247,7 @@ QUERIES = {
     "op8_simhash": (op8_simhash, None),
     "op9_pitman_yor": (op9_pitman_yor, None),
     "op10_toxicity": (op10_toxicity, None),
+    "op11_bottomk": (op11_bottomk, None),
+    "op12_divergence": (op12_divergence, OP12_SQL),
+    "op13_valuedict": (op13_valuedict, _op13_sql()),
 }
