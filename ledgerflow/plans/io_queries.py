@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..config import TAX_YEAR
 from ..functions import mail as M
 from ..functions.text import clean_description, strip_html
-from ..operators.features import HASH_MOD, HASH_MUL, NOISE_MUL, char_noise
+from ..operators.features import char_noise
 from ..operators.labels import category_counts, collapse_rare, index_labels, label_vocab
 from ..operators.messages import csv_rows
 from ..schema import MONEY
@@ -24,6 +24,7 @@ from . import sqlgen as S
 from .inputs import read_table
 from .message_queries import _records, render_messages, sql_mail_records
 from .ml_queries import _sql_collapsed, _trainable
+from .model_sql import noise
 from .pipeline import extract_statements
 from .statement_queries import render_ck_tangerine, render_loc_mc, render_td
 
@@ -217,15 +218,8 @@ def q_char_noise(spark, sf):
 
 
 def sql_char_noise():
-    h = f"((doc_id % {HASH_MOD} * {HASH_MUL} + {42 * 97}) % {HASH_MOD})"
-    u = f"(({h} + i * {NOISE_MUL * NOISE_MUL}) % {HASH_MOD} * {NOISE_MUL} % {HASH_MOD})"
-    k, s = "chr(57344)", "chr(57345)"
-    marked = (f"list_transform(regexp_extract_all(t, '(?s).'), lambda c, i: CASE WHEN {u} >= {int(0.03 * HASH_MOD)} OR {u} % 3 = 2 "
-              f"THEN {k} || c WHEN {u} % 3 = 0 THEN {s} || c ELSE '' END)")
-    flat = f"regexp_replace(array_to_string({marked}, ''), '^' || {s}, {k})"
-    moved = f"regexp_replace({flat}, '(?s)' || {k} || '(.)((?:' || {s} || '.)+)', '\\2' || {k} || '\\1', 'g')"
     return (f"SELECT doc_id, md5(x) AS noisy_md5, CAST(length(x) AS INTEGER) AS n FROM (SELECT doc_id, "
-            f"replace(replace(coalesce({moved}, ''), {k}, ''), {s}, '') AS x FROM (SELECT doc_id, {S.clean_desc('text')} AS t FROM documents))")
+            f"{noise('t', 'doc_id')} AS x FROM (SELECT doc_id, {S.clean_desc('text')} AS t FROM documents))")
 
 
 # ---------------------------------------------------------------- E2 / E6 / E28 / L5 / L8

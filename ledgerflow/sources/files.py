@@ -2,10 +2,10 @@
 contacts, labelled ledgers, and writers.
 
 CSV files name their columns themselves: every file of a scan may have its own
-header, in its own order. One scan reads all files by position; the first row of each
-file is its header (a row per file), and joined back to the file's rows it turns
-names into positions. Files that lack a required column, and files that cannot be
-read, go to a dead-letter table of file and reason; the others are not touched by it.
+header, in its own order and of any width. One scan reads all files as arrays of cells
+(``delimited``); the header record of each file (a row per file), joined back to the file's
+rows, turns names into positions. Files that lack a required column, and files that were not
+read to their end, go to a dead-letter table of file and reason as a whole; the others are not touched by it.
 
 Readers keep provenance: ``file`` (the full path) and ``row_no`` (block start of the
 split, then the row id inside it), so "first row" decisions follow file order even
@@ -14,17 +14,18 @@ when a file is split over many partitions.
 from __future__ import annotations
 
 import re
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import strip_ws
 from ..operators.ingest import records_to_ledger, source_from_filename, statement_to_ledger
-from ..schema import KNOWN_CONTACTS_SCHEMA, MONEY, RECORD_COLUMNS, row_position
-
-MAX_COLUMNS = 64  # cells kept of a CSV row
+from ..schema import KNOWN_CONTACTS_SCHEMA, LEDGER_COLUMNS, MONEY, RECORD_COLUMNS
+from ..session import cut_lineage
+from . import delimited
 
 # Header names of each field, first match wins; lower case.
 STATEMENT_FIELDS = {"trans_date": ("trans date",), "posting_date": ("posting date",), "description": ("description",),
@@ -48,47 +49,52 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def with_provenance(df: DataFrame) -> DataFrame:
-    """Add ``file`` (full path) and ``row_no`` from the scan's hidden metadata."""
-    return (df.withColumn("file", F.col("_metadata.file_path"))
-              .withColumn("row_no", row_position(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())))
-
-
 def scan_csv(spark: SparkSession, paths, fields: dict[str, tuple[str, ...]], required=(), comment: str | None = None,
-             multi_line: bool = False) -> CsvScan:
+             multi_line: bool = False, header_row: int | None = 1) -> CsvScan:
     """Rows (one string column per field, ``file``, ``row_no``) of CSV files that
-    each have their own header. ``multi_line`` lets quoted cells hold line ends (a
-    file is then read by one task)."""
+    each have their own header of any width. ``multi_line`` lets quoted cells hold line
+    ends. The header is the ``header_row``-th record, or (None) the first record that names every
+    required field; what stands above it is left out."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    schema = T.StructType([T.StructField(f"_c{k}", T.StringType()) for k in range(MAX_COLUMNS)])
-    reader = (spark.read.schema(schema).option("mode", "PERMISSIVE").option("multiLine", str(multi_line).lower())
-              .option("escape", '"').option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true"))
-    if comment:
-        reader = reader.option("comment", comment)
-    read = reader.csv(paths)
-    cells = with_provenance(read).select("file", "row_no", F.array(*schema.names).alias("cells"))
-    clean = lambda c: F.lower(strip_ws(F.regexp_replace(F.coalesce(c, F.lit("")), "^\ufeff", "")))
-    heads = (cells.groupBy("file").agg(F.min("row_no").alias("first"), F.min_by("cells", "row_no").alias("head"))
-             .select("file", "first", F.transform("head", clean).alias("head")))
-
-    def place(names):  # position of the first of the names that the header has
+    files, scanned = delimited.listing(spark, paths), delimited.lines(spark, paths)
+    read = delimited.records(scanned, multi_line, comment).select("file", "row_no", delimited.cells(F.col("record")).alias("cells"))
+    clean = lambda c: F.lower(strip_ws(F.regexp_replace(F.coalesce(delimited.cell_value(c), F.lit("")), "^\ufeff", "")))
+
+    def place(names):  # position of the first of the names that the record has
         at = [F.nullif(F.array_position("head", F.lit(n)), F.lit(0).cast("long")) for n in names]
         return F.coalesce(*at, F.lit(None).cast("long"))
 
+    named = read.select("file", "row_no", F.transform("cells", clean).alias("head"))
+    if header_row is None:
+        fits = F.lit(True)
+        for f in required:
+            fits = fits & place(fields[f]).isNotNull()
+        named = named.groupBy("file").agg(F.coalesce(F.min(F.when(fits, F.struct("row_no", "head"))), F.min(F.struct("row_no", "head"))).alias("h"))
+    elif header_row == 1:
+        named = named.groupBy("file").agg(F.min(F.struct("row_no", "head")).alias("h"))
+    else:
+        order = Window.partitionBy("file").orderBy("row_no")
+        named = named.withColumn("k", F.row_number().over(order)).where(F.col("k") == header_row).select("file", F.struct("row_no", "head").alias("h"))
+    heads = named.select("file", F.col("h.row_no").alias("first"), F.col("h.head").alias("head"))
     heads = heads.select("file", "first", *[place(names).alias(f"_at_{f}") for f, names in fields.items()])
     lacks = F.filter(F.array(*[F.when(F.col(f"_at_{f}").isNull(), F.lit(f)) for f in required]).cast("array<string>"),
                      lambda c: c.isNotNull())
     heads = heads.withColumn("_lacks", lacks)
-    rows = (cells.join(heads.where(F.size("_lacks") == 0), "file").where(F.col("row_no") != F.col("first"))
-            .select(*[F.when(F.col(f"_at_{f}").isNotNull(), F.try_element_at("cells", F.col(f"_at_{f}").cast("int"))).alias(f)
+    broken = delimited.unread(files, scanned)
+    fit = cut_lineage(heads.where(F.size("_lacks") == 0).join(broken, "file", "left_anti"))
+    rows = (read.join(fit, "file").where(F.col("row_no") > F.col("first"))
+            .select(*[F.when(F.col(f"_at_{f}").isNotNull(),
+                             delimited.cell_value(F.try_element_at("cells", F.col(f"_at_{f}").cast("int")))).alias(f)
                       for f in fields], "file", "row_no"))
-    listed = spark.createDataFrame([(f,) for f in read.inputFiles()], "file string")  # the names of the scan's own listing
-    found = heads.select("file", F.concat(F.lit("no column "), F.array_join("_lacks", ", ")).alias("reason"),
-                         (F.size("_lacks") == 0).alias("fits"))
+    lacking = heads.where(F.size("_lacks") > 0).select("file", F.concat(F.lit("no column "), F.array_join("_lacks", ", ")).alias("lacking"))
+    # a scan says nothing of empty files: the names come from the listing, and an empty compressed file is cut off
     same = lambda c: F.regexp_replace(c, ":/+", ":/")  # noqa: E731  file:/x and file:///x are one path
-    rejected = (listed.join(found.withColumnRenamed("file", "at"), same(F.col("file")) == same(F.col("at")), "left")
-                .where(~F.coalesce("fits", F.lit(False)))
-                .select("file", F.coalesce("reason", F.lit("empty or unreadable")).alias("reason")))
+    known = broken.unionByName(lacking.withColumnRenamed("lacking", "reason")).unionByName(
+        fit.select("file", F.lit(None).cast("string").alias("reason"))).groupBy("file").agg(F.first("reason", True).alias("reason"), F.lit(True).alias("seen"))
+    rejected = (spark.createDataFrame([(f,) for f in spark.read.text(paths).inputFiles()], "listed string")
+                .join(known, same(F.col("listed")) == same(F.col("file")), "left")
+                .where(F.col("seen").isNull() | F.col("reason").isNotNull())
+                .select(F.col("listed").alias("file"), F.coalesce("reason", F.lit("empty or unreadable")).alias("reason")))
     return CsvScan(rows, rejected)
 
 
@@ -146,17 +152,44 @@ def load_known_contacts(spark: SparkSession, path: str) -> DataFrame:
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists",
                 partition_by=None) -> None:
-    """Write with an explicit overwrite policy (the default refuses
-    to overwrite)."""
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
+    """Write beside the target and publish in one move, so a reader never meets a half-written
+    table and a failed job leaves the old one. ``mode``: ``errorifexists`` refuses an existing target
+    before anything is computed and again before publishing, ``overwrite`` replaces it as a whole."""
+    if mode not in ("errorifexists", "overwrite"):
+        raise ValueError(f"mode {mode!r} is neither errorifexists nor overwrite")
+    spark, path = df.sparkSession, path.rstrip("/")
+    refuse = mode == "errorifexists"
+    if refuse and path_exists(spark, path):
+        raise FileExistsError(f"{path} exists; mode 'overwrite' replaces it")
+    aside = f"{path.rsplit('/', 1)[0]}/_writing-{uuid.uuid4().hex}"  # same store; scans skip names that begin with _
+    w = df.write.partitionBy(*partition_by) if partition_by else df.write
     if fmt == "csv":
-        w.option("header", "true").csv(path)
+        w.option("header", "true").option("escape", '"').option("emptyValue", "").csv(aside)
     elif fmt == "json":
-        w.json(path)
+        w.json(aside)
     else:
-        w.parquet(path)
+        w.parquet(aside)
+    _publish(spark, aside, path, refuse)
+
+
+def _publish(spark: SparkSession, aside: str, path: str, refuse: bool) -> None:
+    new = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = new(aside).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    old = f"{aside}-old"
+    try:
+        if fs.exists(new(path)):
+            if refuse:
+                raise FileExistsError(f"{path} was written meanwhile; it is kept")
+            if not fs.rename(new(path), new(old)):
+                raise OSError(f"{path} can't be replaced")
+        if not fs.rename(new(aside), new(path)):
+            if fs.exists(new(old)):
+                fs.rename(new(old), new(path))  # the old table comes back
+            raise OSError(f"{path} can't be published")
+    finally:
+        for left in (aside, old):
+            if fs.exists(new(left)) and fs.exists(new(path)):
+                fs.delete(new(left), True)
 
 
 def safe_for_path(s: str) -> str:
@@ -171,34 +204,45 @@ def write_records(df: DataFrame, root: str, since, until, fmt: str = "csv", mode
     return path
 
 
-def _glob(spark: SparkSession, pattern: str) -> list[str]:
+def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return sorted(str(s.getPath()) for s in (fs.globStatus(path) or []))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    return bool(_glob(spark, path))
+    return bool(glob_paths(spark, path))
 
 
 def resolve_sources(spark: SparkSession, pattern: str, fallback: str | None = None) -> list[str]:
     """Files matching ``pattern`` (sorted) if any, else the fallback file
     if it exists, else nothing. Lists names only; no data reaches the driver."""
-    names = _glob(spark, pattern)
+    names = glob_paths(spark, pattern)
     return names or ([fallback] if fallback and path_exists(spark, fallback) else [])
 
 
-def read_labelled(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """The labelled ledger (CSV with header or Parquet), conformed."""
+LEDGER_FIELDS = {c: tuple({c, c.replace("_", " "), c.replace("sub_category", "sub-category")}) for c in LEDGER_COLUMNS}
+
+
+def read_labelled(spark: SparkSession, path: str, fmt: str = "parquet", header_row: int | None = None) -> DataFrame:
+    """The labelled ledger (CSV or Parquet), conformed. A CSV's header is its ``header_row``-th record,
+    as sheets with a title above the header have it; without a number it is looked for: the first
+    record that names a category and a description. Files without one raise."""
     from ..schema import conform
-    df = spark.read.option("header", "true").csv(path) if fmt == "csv" else spark.read.parquet(path)
-    renamed = df.select(*[F.col(f"`{c}`").alias(c.strip().lower().replace(" ", "_").replace("-", "_"))
-                          for c in df.columns])
-    return conform(renamed, keep=[c for c in renamed.columns if c not in ("file", "row_no")])
+    if fmt != "csv":
+        df = spark.read.parquet(path)
+        renamed = df.select(*[F.col(f"`{c}`").alias(c.strip().lower().replace(" ", "_").replace("-", "_"))
+                              for c in df.columns])
+        return conform(renamed, keep=[c for c in renamed.columns if c not in ("file", "row_no")])
+    scan = scan_csv(spark, path, LEDGER_FIELDS, ("category", "description"), multi_line=True, header_row=header_row)
+    bad = scan.rejected.limit(5).collect()
+    if bad:
+        raise ValueError("no labelled ledger: " + "; ".join(f"{r.file}: {r.reason}" for r in bad))
+    return conform(scan.rows, keep=["file", "row_no"])
 
 
 def write_classified(df: DataFrame, root: str, run_date, fmt: str = "parquet", mode: str = "errorifexists") -> str:
-    """The classified ledger under ``run_date=YYYY-MM-DD``."""
+    """The classified ledger under ``run_date=YYYY-MM-DD``; other dates are not touched."""
     path = f"{root.rstrip('/')}/run_date={run_date.isoformat()}"
     write_table(df, path, fmt, mode)
     return path

@@ -98,3 +98,67 @@ def test_write_records(spark):
     root = tempfile.mkdtemp(prefix="lf-out-")
     path = write_records(spark.createDataFrame([("a", 1)], "TYPE string, n int"), root, dt.date(2026, 1, 1), dt.date(2026, 2, 1))
     assert path.endswith("email_records_2026-01-01_2026-02-01") and spark.read.csv(path, header=True).count() == 1
+
+
+def test_damaged_files_have_no_rows(spark):
+    """A compressed file that ends early is rejected as a whole; whole ones stay, several streams in one too."""
+    import bz2
+    import gzip
+    text = "TRANS DATE,DESCRIPTION,AMOUNT,CARD TYPE\n" + "".join(f"Apr 04,row {k},{k}.00,debit\n" for k in range(20_000))
+    root = tempfile.mkdtemp(prefix="lf-csv-")
+    whole, squeezed = gzip.compress(text.encode()), bz2.compress(text.encode())
+    half = text.index("row 10000")
+    half = text.index("\n", half) + 1
+    streams = gzip.compress(text[:half].encode()) + gzip.compress(text[half:].encode())
+    wrong = bytearray(whole)
+    wrong[-6] ^= 1  # the checksum
+    for name, data in {"whole.csv.gz": whole, "cut.csv.gz": whole[:len(whole) // 2], "tail.csv.gz": whole[:-3], "two.csv.gz": streams,
+                       "wrong.csv.gz": bytes(wrong), "none.csv.gz": b"", "b.csv.bz2": squeezed, "bcut.csv.bz2": squeezed[:-20]}.items():
+        with open(os.path.join(root, name), "wb") as fh:
+            fh.write(data)
+    scan = read_statement_csv(spark, root + "/*.csv.*", source_of=lambda f: f)
+    counts = {os.path.basename(r.source): r["count"] for r in scan.rows.groupBy("source").count().collect()}
+    assert counts == {"whole.csv.gz": 20_000, "two.csv.gz": 20_000, "b.csv.bz2": 20_000}
+    bad = {os.path.basename(r.file): r.reason for r in scan.rejected.collect()}
+    assert set(bad) == {"cut.csv.gz", "tail.csv.gz", "wrong.csv.gz", "none.csv.gz", "bcut.csv.bz2"}
+    assert {n: r for n, r in bad.items() if r != "cut off or damaged"} == {"none.csv.gz": "empty or unreadable"}
+
+
+def test_lines_that_were_not_read_reject_the_file(spark):
+    """An uncompressed file is held against its length."""
+    from pyspark.sql import functions as F
+
+    from ledgerflow.sources import delimited
+    root = folder(a="x,y\n1,2\n3,4", b="x,y\n1,2\n", c="\ufeffx\r\n1\r\n")
+    files, lines = delimited.listing(spark, [root]), delimited.lines(spark, [root])
+    assert delimited.unread(files, lines).collect() == []
+    short = lines.where(~(F.col("file").endswith("a.csv") & (F.col("line") == "1,2")))
+    assert [(os.path.basename(r.file), r.reason) for r in delimited.unread(files, short).collect()] == [("a.csv", "cut off: 8 of 11 bytes read")]
+
+
+def test_any_number_of_columns(spark):
+    extra = [f"extra {k}" for k in range(66)]
+    root = folder(wide=",".join([*extra, "trans date", "description", "amount", "card type"]) + "\n"
+                  + ",".join(["x"] * 66 + ["Apr 04", '"a, ""b"""', "1.50", "debit"]) + "\n",
+                  wider=",".join([f"c{k}" for k in range(3000)] + ["TRANS DATE", "DESCRIPTION", "AMOUNT", "CARD TYPE", "posting date"]) + "\n"
+                  + "," * 3000 + "Apr 04,far,2.50,credit,Apr 05\n")
+    scan = read_statement_csv(spark, root + "/*.csv")
+    got = {r.description: r for r in scan.rows.collect()}
+    assert got['a, "b"'].debit == Decimal("1.50") and (got["far"].credit, got["far"].posting_date.day) == (Decimal("2.50"), 5)
+    assert scan.rejected.collect() == []
+
+
+def test_records_over_splits(spark):
+    """Quoted cells with line ends, commas and quotes, cut into many small splits."""
+    rows = [(k, f'cell "{k}"\nwith, a second line\n\n' * (k % 4)) for k in range(400)]
+    body = "".join('{},"{}",x{}\n'.format(k, t.replace('"', '""'), k) for k, t in rows)
+    root = folder(a="n,text,tail\n" + body, plain="n,text,tail\n7,seven,x7\n")
+    from ledgerflow.sources.files import scan_csv
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "999")
+    try:
+        scan = scan_csv(spark, root + "/*.csv", {"n": ("n",), "text": ("text",), "tail": ("tail",)}, ("n",), multi_line=True)
+        got = sorted((r.file.rsplit("/", 1)[-1], int(r.n), r.text or "", r.tail) for r in scan.rows.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    assert got == sorted([("a.csv", k, t, f"x{k}") for k, t in rows] + [("plain.csv", 7, "seven", "x7")])
