@@ -1,11 +1,9 @@
-"""Registered driver queries against their DuckDB oracles at sf0.001, and
-invariants of the two-stage gate."""
+"""Registered driver queries against their DuckDB oracles at sf0.001."""
 import os
 import sys
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from ledgerflow.plans.registry import all_queries  # noqa: E402
@@ -42,23 +40,4 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_every_query_has_oracle_or_is_model(spark):
     missing = {name for name, (_fn, sql) in all_queries().items() if sql is None}
-    assert missing == {"classified_ledger", "two_stage_classify"}
-
-
-def test_two_stage_gate(spark):
-    """Stage 2 only fills EXPENSES rows; confidences are probabilities."""
-    from ledgerflow.config import DEFAULT
-    from ledgerflow.operators.model import score_two_stage
-    from ledgerflow.plans.pipeline import train_models
-    from ledgerflow.plans.rules_queries import documents_ledger
-    d = documents_ledger(spark, SF)
-    lab = d.withColumn("sub_category1", F.when(F.col("category") == "EXPENSES", F.col("file")))
-    r1, r2 = train_models(lab, "row_id", DEFAULT, (0.1,), 5)
-    out = score_two_stage(lab, r1.model, r2.model).collect()
-    assert len(out) == d.count()
-    for r in out:
-        assert 0.0 < r.confidence <= 1.0
-        if r.category == "EXPENSES":
-            assert r.sub_category1 is not None and 0.0 < r.confidence_stage2 <= 1.0
-        else:
-            assert r.sub_category1 is None and r.confidence_stage2 is None
+    assert missing == {"classified_ledger"}
