@@ -5,9 +5,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources import files
 
+TASK_BYTES = 128 << 20  # a task's worth of input
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. Small ones are a single row group, hence one split: what one
-    task would do alone is dealt out. A scan of two splits or more is left as it is."""
+    """A driver table. A small one is a single row group, so one task would hold all its rows, whatever
+    the number of its splits: below a task's worth of bytes for each core it is dealt out. A large one is
+    left to its row groups. Rows and results are the same either way."""
     df = files.read_table(spark, sf_dir, name)
-    return df.repartition(spark.sparkContext.defaultParallelism) if df.rdd.getNumPartitions() < 2 else df
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * TASK_BYTES else df

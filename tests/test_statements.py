@@ -158,3 +158,21 @@ def test_running_balance_matches_page_loop(spark):
     got = [(r.file, r.page, r.line_no, r.card_type) for r in
            extract_ck_tangerine(df, "CK", block_pages=2).orderBy("file", "page", "line_no").collect()]
     assert got == sorted(expect)
+
+
+def test_a_large_page_takes_linear_time(spark):
+    """100,000 words on one page, as many lines; a third of all words on another."""
+    import time
+    rows = spark.range(100_000).select(F.lit("f").alias("file"), F.lit(1).alias("page"), F.col("id").cast("int").alias("seq"),
+                                       F.concat(F.lit("w"), F.col("id")).alias("text"), F.lit(1.0).alias("x0"), (F.col("id") * 3.0).alias("top"))
+    began = time.time()
+    got = words_to_lines(rows).agg(F.count(F.lit(1)).alias("n"), F.max("line_no").alias("last")).first()
+    assert (got.n, got.last) == (100_000, 99_999) and time.time() - began < 60
+
+
+def test_words_to_lines_edges(spark):
+    rows = [("f", 1, 0, None, 1.0, 1.0), ("f", 1, 1, "  ", 2.0, 9.0), ("f", 1, 2, "b", None, 20.0), ("f", 1, 3, "a", 5.0, 20.0),
+            ("f", 1, 4, "lost", 5.0, None), ("f", None, 5, "x", 1.0, 1.0), (None, 1, 6, "y", 1.0, 1.0), ("f", 1, 7, "a", 5.0, 20.0)]
+    got = {(r.file, r.page, r.line_no, r.line) for r in words_to_lines(spark.createDataFrame(rows, WORDS_SCHEMA)).collect()}
+    assert got == {("f", 1, 0, "b a a"), ("f", None, 0, "x"), (None, 1, 0, "y")}
+    assert words_to_lines(spark.createDataFrame([], WORDS_SCHEMA)).collect() == []
