@@ -17,8 +17,9 @@ shingles; equal sets form a class. Its sketch is the ``K`` smallest hashes.
 
 Components come from the links by large-star and small-star rounds.
 
-A pair at the threshold of 0.85 is missed only if under half of the union's 64 smallest hashes are common:
-probability 3e-11 for a pair at 0.85 exactly, less above; sets below 64 shingles lose none.
+A pair at the threshold of 0.85 is missed only if under half of the union's 64 smallest hashes are common, or
+in a block under 0.7 of its 256 smallest: probabilities 1e-11 and 1e-9 for a pair at 0.85 exactly, less
+above; sets below 64 shingles lose none.
 
 Defined results: null text and text without words have no shingle, link with nothing and are
 their own component; a text of under five words is one shingle; rows that repeat a text (and
@@ -45,6 +46,7 @@ SHINGLE = 5
 K = 64
 PERCENT = 85
 NEED = 0.5  # share of retained values, and least estimate, of a pair that is looked at
+FINE_K, FINE_NEED = 256, 0.7  # the same where the whole sets are at hand
 LIST_ROWS = 512
 BLOCK_ROWS = 512
 BLOCK_SHINGLES = 1 << 20
@@ -225,10 +227,14 @@ def families(classes: DataFrame, percent: int = PERCENT, need: float = NEED, k:
     return components(star.unionByName(rows.mapInArrow(tidy(task), "a long, b long")))
 
 
-def _verified(rows: DataFrame, percent: int, need: float, k: int, shingle: int) -> DataFrame:
-    """``rows`` (k1, k2, k3, cid, comp, own, text) to (a, b) stars of the links within each (k1, k2, k3).
-    Rows with ``own`` meet all, others only those; classes of one component aren't compared."""
-    dealt = rows.select("k1", "k2", "k3", "cid", "comp", "own", "text").repartition("k1", "k2", "k3").sortWithinPartitions("k1", "k2", "k3", "cid")
+def _verified(rows: DataFrame, percent: int, shingle: int, named: str = "cid", need: float = FINE_NEED, k: int = FINE_K) -> DataFrame:
+    """``rows`` (k1, k2, k3, cid, comp, own, text) to (a, b) stars of the links within each (k1, k2, k3), between
+    classes or (``named``) their components. Rows with ``own`` meet all, others only those; classes of one
+    component aren't compared."""
+    # a stated number of partitions: the work grows with the pairs, so small inputs aren't put together again
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = (rows.select("k1", "k2", "k3", "cid", "comp", "own", "text").repartition(parts, "k1", "k2", "k3")
+             .sortWithinPartitions("k1", "k2", "k3", "cid"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
@@ -244,13 +250,12 @@ def _verified(rows: DataFrame, percent: int, need: float, k: int, shingle: int)
                     comps.append(g.column("comp")[r].as_py())
                     own.append(g.column("own")[r].as_py())
                     sets.append(shingle_set(texts[r].as_py() or b"", shingle))
-            known, part = Union(), Union()
+            part = Union()
+            names = comps if named == "comp" else cids
             for i, j in likely(np.array([len(s) for s in sets]), [s[:k] for s in sets], percent, need, k, np.array(own)):
-                a, b = ("c", comps[i]), ("c", comps[j])
-                if (known.find(a) != known.find(b) and estimate(sets[i][:k], sets[j][:k], k) >= need
+                if (part.find(names[i]) != part.find(names[j]) and estimate(sets[i][:k], sets[j][:k], k) >= need
                         and jaccard_reaches(sets[i], sets[j], percent)):
-                    known.join(a, b)
-                    part.join(cids[i], cids[j])
+                    part.join(names[i], names[j])
             out += part.stars()
             if len(out) >= 1 << 16:
                 yield _edges(out)
@@ -275,8 +280,9 @@ def near_groups(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE,
     sizes = member.groupBy("family").agg(F.count(F.lit(1)).alias("size"), F.ceil(F.greatest(
         F.count(F.lit(1)) / block_rows, F.sum("n") / BLOCK_SHINGLES)).cast("long").alias("blocks"))
     member = materialise(member.join(sizes, "family"), "bottomk-members")
+    # the same kind of join at every size, whether the planner thinks the members small or not
     texts = _with_hash(docs).alias("d").join(
-        member.alias("m"), F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & F.col("d.text_hash").eqNullSafe(F.col("m.text_hash")))
+        member.hint("merge").alias("m"), F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & F.col("d.text_hash").eqNullSafe(F.col("m.text_hash")))
     texts = texts.select("m.family", "m.blocks", "m.cid", "d.text", F.pmod(F.xxhash64("m.cid"), F.col("m.blocks")).alias("block"),
                          (F.pmod(F.xxhash64("m.cid", "m.family"), F.col("m.size")) < pivots).alias("pivot"))
     texts = materialise(texts, "bottomk-texts")
@@ -285,8 +291,7 @@ def near_groups(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE,
     inside = texts.withColumn("to", F.col("block")).unionByName(everywhere).select(
         F.col("family").alias("k1"), F.col("to").alias("k2"), F.lit(0).cast("long").alias("k3"), "cid", F.col("cid").alias("comp"),
         F.lit(True).alias("own"), "text")
-    links = materialise(_verified(inside, percent, need, k, shingle), "bottomk-links")
-    part = components(links)
+    part = components(_verified(inside, percent, shingle))
 
     large = texts.where("blocks > 1").join(part.select(F.col("a").alias("cid"), F.col("b").alias("comp")), "cid", "left").select(
         "family", "blocks", "block", "cid", F.coalesce("comp", "cid").alias("comp"))
@@ -294,6 +299,7 @@ def near_groups(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE,
         F.max(F.struct("n", "comp"))["comp"].alias("main"), F.sum("n").alias("size"), F.max("n").alias("held"))
     most = most.where("size > held").withColumn("outside", F.ceil((F.col("size") - F.col("held")) / block_rows).cast("long"))
     rest = materialise(large.distinct().join(most.select("family", "main", "outside"), "family"), "bottomk-rest")
+    later = None  # what the links across blocks connect further
     if rest.limit(1).count():
         outer = F.pmod(F.xxhash64("cid", "main"), F.col("outside"))
         upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
@@ -301,10 +307,13 @@ def near_groups(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE,
         others = rest.where("comp <> main").select("family", upto("blocks").alias("block"), outer.alias("outer"), "cid", "comp", F.lit(True).alias("own"))
         across = base.unionByName(others).join(texts.select("cid", "text"), "cid").select(
             F.col("family").alias("k1"), F.col("block").alias("k2"), F.col("outer").alias("k3"), "cid", "comp", "own", "text")
-        part = components(links.unionByName(_verified(across, percent, need, k, shingle)))
+        later = components(_verified(across, percent, shingle, "comp"))
 
     rooted = classes.select("sig", "cid", "first.doc_id").join(part.select(F.col("a").alias("cid"), F.col("b").alias("root")), "cid", "left")
     rooted = rooted.select("sig", "doc_id", F.coalesce("root", "cid").alias("root"))
+    if later is not None:
+        rooted = rooted.join(later.select(F.col("a").alias("root"), F.col("b").alias("top")), "root", "left").select(
+            "sig", "doc_id", F.coalesce("top", "root").alias("root"))
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = materialise(rooted.join(least, "root").select("sig", "component_id"), "bottomk-named")
     found = rows.join(named, "sig", "left")
