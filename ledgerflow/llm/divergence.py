@@ -40,7 +40,8 @@ from .common import materialise, tidy
 MIN_DOCS = 30
 TOP_TERMS = 50
 SLICE = 1 << 22  # bytes of a text that are split at once
-FLUSH = 1 << 18  # counters, or pair corrections, that a task holds
+HELD = 1 << 16  # counters that a task holds; Spark adds up what it sends on
+FLUSH = 1 << 18  # pair corrections that a task holds
 # What isn't part of a term becomes a space: up to U+0040, U+005B to U+0060, U+007B to U+007F.
 _CASE = bytes(32 if b <= 0x40 or 0x5B <= b <= 0x60 or 0x7B <= b <= 0x7F else b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 
@@ -66,17 +67,12 @@ def counted(docs: DataFrame) -> DataFrame:
     """(lang, source, term, n, docs) partial counts; a row with term '' for each group seen."""
     rows = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
 
-    def out(held: dict, seen: dict) -> pa.RecordBatch:
-        cols = [[], [], [], [], []]
+    def out(held: dict, seen: dict) -> Iterator[pa.RecordBatch]:
         for (lang, source), n in held.items():
-            docs_ = seen[lang, source]
-            cols[0] += [lang] * (len(n) + 1)
-            cols[1] += [source] * (len(n) + 1)
-            cols[2] += ["", *(t.decode() for t in n)]
-            cols[3] += [0, *n.values()]
-            cols[4] += [0, *(docs_[t] for t in n)]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.string()] * 3 + [pa.int64()] * 2)],
-                                          ["lang", "source", "term", "n", "docs"])
+            own, size = seen.pop((lang, source)), len(n) + 1
+            cols = [pa.repeat(lang, size), pa.repeat(source, size), pa.array([b"", *n], pa.binary()).cast(pa.string()),
+                    pa.array([0, *n.values()], pa.int64()), pa.array([0, *map(own.__getitem__, n)], pa.int64())]
+            yield pa.RecordBatch.from_arrays(cols, ["lang", "source", "term", "n", "docs"])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple, Counter] = {}
@@ -94,11 +90,10 @@ def counted(docs: DataFrame) -> DataFrame:
                     once.update(some)
                 docs_.update(once)
                 size += len(n)
-                if size >= FLUSH:
-                    yield out(held, seen)
+                if size >= HELD:
+                    yield from out(held, seen)
                     held, seen, size = {}, {}, 0
-        if held:
-            yield out(held, seen)
+        yield from out(held, seen)
 
     return rows.mapInArrow(tidy(task), "lang string, source string, term string, n long, docs long")
 
