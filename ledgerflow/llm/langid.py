@@ -12,11 +12,18 @@ that run side by side in numpy; no phrase crosses a block's border. The mismatch
 is folded into a transition table: an entry holds the next state and how many phrases ended.
 
 Bound of the fitted sample: ``SAMPLE_DOCS`` documents a language (by md5 of the id), and
-``SAMPLE_BYTES`` bytes of them. One sample per language reaches the driver and the tasks.
+``SAMPLE_BYTES`` bytes of them. A document gives pieces of ``PIECE`` characters that are spread over its
+whole text; the first piece of every document comes first, then the second of each, until the bytes are
+full, so no opening, however long, stands for the text. One sample per language reaches the driver and the tasks.
+
+``known_language`` rejects by the parse: a text of at least ``SHORTEST`` bytes whose best language needs more bits a byte
+than ``SLACK`` times what the held-in texts need at most (each half of a language's sampled
+documents parsed against the other half) is of no language that was learned. Shorter texts say too little and stay.
 
 Defined results: null text or a text without a letter is ``und`` with score 0, as is
-every text if no language was learned; ties go to the language first by code point; an empty
-table gives no rows; rows with equal ids are judged on their own.
+every text if no language was learned (``known_language`` then keeps every text with a letter); ties go to the
+language first by code point; an empty table gives no rows; rows with equal ids are judged on their own; very long texts are
+parsed whole; columns that clash with those added give way to them in ``predict`` and are kept by ``known_language``.
 """
 from __future__ import annotations
 
@@ -32,6 +39,10 @@ from .common import id_mod, tidy
 
 SAMPLE_DOCS = 64
 SAMPLE_BYTES = 1 << 15
+PIECE = 256
+PIECES = (1 / 2, 1 / 4, 3 / 4, 1 / 8, 5 / 8, 3 / 8, 7 / 8, 1)  # where in the text each piece lies, in this order
+SHORTEST = 256
+SLACK = 1.5
 BLOCK = 1024
 UNKNOWN = "und"
 LANES = 1 << 14  # blocks parsed side by side
@@ -42,20 +53,49 @@ def letters(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{M}]+", " "))
 
 
+def pieces(text: str, size: int = PIECE) -> list[str]:
+    """Pieces of ``size`` characters spread over a text, none twice; a short text is one piece."""
+    if len(text) <= size:
+        return [text]
+    out, taken = [], []
+    for share in PIECES:
+        at = int(share * (len(text) - size))
+        if all(abs(at - other) >= size for other in taken):
+            taken.append(at)
+            out.append(text[at:at + size])
+    return out
+
+
+def sampled(labelled: DataFrame, docs_each: int = SAMPLE_DOCS) -> dict[str, list[list[str]]]:
+    """lang -> the pieces of its sampled documents, from rows (doc_id, text, lang)."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = [pieces(t) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("n"), pa.array(got, pa.list_(pa.string()))], ["lang", "n", "pieces"])
+
+    w = Window.partitionBy("lang").orderBy("order", "doc_id", "hash")
+    known = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).withColumn("hash", F.xxhash64("text"))
+    chosen = known.select("lang", "doc_id", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("order"), "hash")
+    chosen = F.broadcast(chosen.withColumn("n", F.row_number().over(w)).where(F.col("n") <= docs_each).alias("c"))  # docs_each a language
+    rows = known.alias("k").join(chosen, F.col("k.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("k.hash") == F.col("c.hash"))
+                                 & (F.col("k.lang") == F.col("c.lang"))).select("c.lang", "c.n", F.col("k.text").alias("text"))
+    rows = rows.select("lang", "n", letters(F.col("text")).alias("text")).mapInArrow(cut, "lang string, n int, pieces array<string>")
+    out: dict[str, dict[int, list[str]]] = {}
+    for r in rows.collect():  # PIECES pieces of docs_each documents a language; rows that repeat one are equal
+        out.setdefault(r["lang"], {})[r["n"]] = r["pieces"]
+    return {lang: [texts[n] for n in sorted(texts)] for lang, texts in sorted(out.items())}
+
+
+def dealt(texts: list[list[str]], bytes_each: int = SAMPLE_BYTES) -> bytes:
+    """The first piece of every text, then the second of each, up to ``bytes_each`` bytes."""
+    order = [p[k] for k in range(len(PIECES)) for p in texts if k < len(p)]
+    return " ".join(order).encode()[:bytes_each]
+
+
 def training_sample(labelled: DataFrame, docs_each: int = SAMPLE_DOCS,
                     bytes_each: int = SAMPLE_BYTES) -> dict[str, bytes]:
     """lang -> sample text, from rows (doc_id, text, lang)."""
-    each = 4 * bytes_each // docs_each
-    w = Window.partitionBy("lang").orderBy("order", "doc_id", "text")
-    rows = (labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-            .select("lang", "doc_id", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("order"),
-                    letters(F.substring("text", 1, each)).alias("text"))
-            .withColumn("n", F.row_number().over(w)).where(F.col("n") <= docs_each)
-            .select("lang", "n", "text").collect())
-    out: dict[str, list[str]] = {}
-    for r in sorted(rows, key=lambda r: (r["lang"], r["n"])):
-        out.setdefault(r["lang"], []).append(r["text"])
-    return {lang: " ".join(texts).encode()[:bytes_each] for lang, texts in out.items()}
+    return {lang: dealt(texts, bytes_each) for lang, texts in sampled(labelled, docs_each).items()}
 
 
 def suffix_automaton(data: bytes) -> list[dict[int, int]]:
@@ -179,9 +219,9 @@ def _parser(samples: dict[str, bytes]) -> Parser:
     return _PARSERS[key]
 
 
-def _parsed(rows: DataFrame, samples: dict[str, bytes], added: list, only_known: bool) -> DataFrame:
-    """``rows`` without ``_letters``; with the columns ``added``, of lang_pred, score and
-    bits_per_byte; without the rows of unknown language if ``only_known``."""
+def _parsed(rows: DataFrame, samples: dict[str, bytes], added: list, most_bits: float | None = None) -> DataFrame:
+    """``rows`` without ``_letters``; with the columns ``added``, of lang_pred, score and bits_per_byte. With
+    ``most_bits`` the rows without a letter and the long ones above so many bits a byte are left out."""
     shared = rows.sparkSession.sparkContext.broadcast(samples)  # SAMPLE_BYTES a language
     fields = [f for f in rows.schema.fields if f.name != "_letters"]
     schema = T.StructType(fields + added)
@@ -191,11 +231,14 @@ def _parsed(rows: DataFrame, samples: dict[str, bytes], added: list, only_known:
         for batch in batches:
             for lo in range(0, batch.num_rows, 2048):
                 part = batch.slice(lo, 2048)
-                lang, score, rate = parser.predict(part.column("_letters").cast(pa.binary()).to_pylist())
+                texts = part.column("_letters").cast(pa.binary()).to_pylist()
+                lang, score, rate = parser.predict(texts)
                 got = {"lang_pred": pa.array(lang, pa.string()), "score": pa.array(score), "bits_per_byte": pa.array(rate)}
                 out = pa.RecordBatch.from_arrays([part.column(k) for k in range(len(fields))] + [got[f.name] for f in added],
                                                  schema.names)
-                yield out.filter(pa.array([x != UNKNOWN for x in lang])) if only_known else out
+                if most_bits is not None:
+                    out = out.filter(pa.array([len(t) > 0 and (len(t) < SHORTEST or r <= most_bits) for t, r in zip(texts, rate)], pa.bool_()))
+                yield out
 
     return rows.mapInArrow(tidy(task), schema)
 
@@ -209,16 +252,36 @@ def predict(docs: DataFrame, samples: dict[str, bytes]) -> DataFrame:
     added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
              T.StructField("bits_per_byte", T.DoubleType())]
     keep = [F.col(f"`{c}`") for c in docs.columns if c not in {"_letters", *(f.name for f in added)}]
-    return _parsed(docs.select(*keep, _only_letters(F.col("text"))), samples, added, False)
+    return _parsed(docs.select(*keep, _only_letters(F.col("text"))), samples, added)
+
+
+def _held_in(docs: DataFrame) -> DataFrame:
+    """The documents that may be learned from (crc32 of the id mod 3 is not 1)."""
+    return docs.where(id_mod("doc_id", 3) != 1).select("doc_id", "text", "lang")
 
 
 def learn(docs: DataFrame) -> dict[str, bytes]:
-    """Samples from the documents that are not held out (crc32 of the id mod 3 is not 1)."""
-    return training_sample(docs.where(id_mod("doc_id", 3) != 1).select("doc_id", "text", "lang"))
+    """Samples from the documents that are not held out."""
+    return training_sample(_held_in(docs))
+
+
+def most_bits(texts: dict[str, list[list[str]]]) -> float:
+    """What a long held-in text needs at most in its own language, learned from the other half of the texts, times ``SLACK``;
+    no bound where no text is long enough."""
+    found = []
+    for lang, own in texts.items():
+        for half in (0, 1):
+            tested = [t for t in (" ".join(p).encode() for p in own[half::2]) if len(t) >= SHORTEST]
+            other = dealt(own[1 - half::2])
+            if tested and other:
+                found.append(float(Parser({lang: other}).predict(tested)[2].max()))
+    return SLACK * max(found) if found else float("inf")
 
 
 def known_language(docs: DataFrame) -> DataFrame:
-    """``docs`` without those whose text has no language (null, or no letter)."""
+    """``docs`` without those whose text has no language: null, without a letter, or like none that was learned."""
     names = [f"c{k}" for k in range(len(docs.columns))]  # whatever the columns are called, they come back as they were
     rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names)], _only_letters(F.col("text")))
-    return _parsed(rows, learn(docs), [], True).toDF(*docs.columns)
+    texts = sampled(_held_in(docs))
+    samples = {lang: dealt(own) for lang, own in texts.items()}
+    return _parsed(rows, samples, [], most_bits(texts)).toDF(*docs.columns)
