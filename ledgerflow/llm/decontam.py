@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import tidy
+from .common import materialise, tidy
 
 K1, B = 1.2, 0.75  # fixed values of BM25
 THRESHOLD = 0.6
@@ -77,20 +77,23 @@ def overlap(part: list[str], passage: list[str]) -> float:
 class Index:
     """Inverted index of one shard of items, with blocks of ``BLOCK_ITEMS`` postings' items."""
 
-    def __init__(self, items: list[tuple[int, str]], threshold: float = THRESHOLD):
+    def __init__(self, items: list[tuple[int, str]], threshold: float = THRESHOLD, counts: tuple | None = None):
+        """``counts``: (document frequency of each of the items' words, items, mean and greatest length) of the whole test
+        set, of which ``items`` are a shard; by default of ``items``."""
         items = sorted((i, t or "") for i, t in items)
         parts = [(i, t, words(t)) for i, t in items]
         parts = [x for x in parts if x[2]]
         self.ids = [i for i, _, _ in parts]
         self.threshold = threshold
         self.parts = [tuple(words(x) for x in split_item(t)) for _, t, _ in parts]
-        self.passage = max(PASSAGE, 2 * max((len(w) for _, _, w in parts), default=0))
-        df = Counter(t for _, _, w in parts for t in set(w))
-        n, mean = len(parts), sum(len(w) for _, _, w in parts) / max(1, len(parts))
+        own_df, n = Counter(t for _, _, w in parts for t in set(w)), len(parts)
+        df, total, mean, longest = counts or (own_df, n, sum(len(w) for _, _, w in parts) / max(1, n),
+                                              max((len(w) for _, _, w in parts), default=0))
+        self.passage = max(PASSAGE, 2 * longest)
         postings: dict[str, list[tuple[int, float]]] = defaultdict(list)
         for k, (_, _, w) in enumerate(parts):
             tf = Counter(w)
-            raw = {t: math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * c * (K1 + 1)
+            raw = {t: math.log(1 + (total - df[t] + 0.5) / (df[t] + 0.5)) * c * (K1 + 1)
                    / (c + K1 * (1 - B + B * len(w) / mean)) for t, c in tf.items()}
             own = sum(raw[t] for t in sorted(raw))
             for t, x in raw.items():
@@ -98,7 +101,7 @@ class Index:
         self.postings = dict(postings)
         self.blocks = {t: self._block_max(p) for t, p in self.postings.items()}
         self.bound = {t: max(x for _, x in p) for t, p in self.postings.items()}
-        self._split_terms(df, n)
+        self._split_terms(own_df, n)
 
     @staticmethod
     def _block_max(p: list[tuple[int, float]]) -> dict[int, float]:
@@ -215,22 +218,40 @@ class Index:
 _INDEXES: dict[str, Index] = {}  # a Python worker builds a shard's index once
 
 
-def _index(key: str, items, threshold: float) -> Index:
+def _index(key: str, shard: tuple, threshold: float) -> Index:
     if key not in _INDEXES:
         _INDEXES.clear()
-        _INDEXES[key] = Index(items, threshold)
+        _INDEXES[key] = Index(shard[0], threshold, shard[1])
     return _INDEXES[key]
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(shard, word, length) of each item: its distinct words, and one row without a word for its length."""
+    for batch in batches:
+        for shard, text in zip(batch.column("shard").to_pylist(), batch.column("text").to_pylist()):
+            found = words(text)
+            if found:
+                own = [None, *sorted(set(found))]
+                yield pa.RecordBatch.from_arrays([pa.array([shard] * len(own), pa.int64()), pa.array(own, pa.string()),
+                                                  pa.array([len(found)] * len(own), pa.int64())], ["shard", "word", "length"])
+
+
 def _shards(items: DataFrame):
-    """(key, items) of each shard, one at a time."""
+    """(key, (items, counts of the whole test set)) of each shard, one at a time. A shard holds the
+    document frequencies of its own words; they are counted over all items, however many shards there are."""
     import uuid
     items = items.where(F.col("text").isNotNull()).select("item_id", "text")
     size = items.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("b")).first()
     n = max(1, -(-2 * size["n"] // SHARD_ITEMS) if size["n"] > SHARD_ITEMS else 1, -(-(size["b"] or 0) // SHARD_BYTES))
+    items = items.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)))
+    seen = materialise(items.select("shard", "text").mapInArrow(_counted, "shard long, word string, length long"), "decontam-words")
+    whole = seen.where("word IS NULL").agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("sum"), F.max("length").alias("most")).first()
+    per_shard = seen.where("word IS NOT NULL").groupBy("word", "shard").agg(F.count(F.lit(1)).alias("n"))
+    df = materialise(per_shard.groupBy("word").agg(F.sum("n").alias("df"), F.collect_list("shard").alias("shards")), "decontam-df")
     for k in range(n):
-        part = items if n == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-        yield uuid.uuid4().hex, [(r["item_id"], r["text"]) for r in part.collect()]
+        own = {r["word"]: r["df"] for r in df.where(F.array_contains("shards", F.lit(k).cast("long"))).select("word", "df").collect()}
+        part = items.where(F.col("shard") == k).select("item_id", "text").collect()
+        yield uuid.uuid4().hex, ([(r["item_id"], r["text"]) for r in part], (own, whole["n"], (whole["sum"] or 0) / max(1, whole["n"]), whole["most"] or 0))
 
 
 LEAKS = "doc_id long, item_id long, score double, passage_at long, question_overlap double, answer_overlap double"
