@@ -1,8 +1,8 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-Confirmed toxic documents are the positives; documents without a label are the
-unlabelled rest (if there are none, every document not confirmed). With class prior pi (the toxic
-share among the labelled training rows) a logistic model minimises
+Confirmed toxic documents are the positives; the unlabelled part is a draw from all training
+documents, whatever their label, so it holds toxic ones by the class prior, as the risk supposes. With class
+prior pi (the toxic share among the labelled training rows) a logistic model minimises
 pi * R_p(+) + max(0, R_u(-) - pi * R_p(-)); while the corrected negative risk is below
 zero, the step goes up that term instead (non-negative estimator).
 
@@ -52,14 +52,12 @@ def sample(docs: DataFrame, labels: DataFrame, max_positive=MAX_POSITIVE, max_un
         F.max("toxic").alias("toxic"))
     ids = docs.where(id_mod("doc_id", 5) != 0).select("doc_id").join(known, "doc_id", "left")
     ids = materialise(ids.distinct(), "toxic-ids")
-    n = ids.agg(F.count_if(F.col("toxic") == 1).alias("pos"), F.count("toxic").alias("known"),
-                F.count_if(F.col("toxic").isNull()).alias("free")).first()
+    n = ids.agg(F.count_if(F.col("toxic") == 1).alias("pos"), F.count("toxic").alias("known")).first()
     if not n["pos"]:
         return None, 0.0
-    rest = F.col("toxic").isNull() if n["free"] else F.col("toxic") == 0
     order = [F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.col("doc_id")]
     chosen = ids.where(F.col("toxic") == 1).orderBy(*order).limit(max_positive).select("doc_id", F.lit(1).alias("y"))
-    chosen = chosen.unionByName(ids.where(rest).orderBy(*order).limit(max_unlabelled).select("doc_id", F.lit(0).alias("y")))
+    chosen = chosen.unionByName(ids.orderBy(*order).limit(max_unlabelled).select("doc_id", F.lit(0).alias("y")))
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most the two bounds
     return materialise(rows, "toxic-sample"), n["pos"] / n["known"]
 
@@ -127,7 +125,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     schema = T.StructType([rows.schema["doc_id"], T.StructField("y", T.IntegerType()),
                            T.StructField("on", T.ArrayType(T.IntegerType()))])
     got = rows.select("doc_id", "y", "text").mapInArrow(task, schema).collect()
-    got.sort(key=lambda r: (r["doc_id"], r["on"]))
+    got.sort(key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["y"], r["on"]))
     y = np.array([r["y"] for r in got])
     cols = np.array([c for r in got for c in r["on"]], np.int64)
     where = np.repeat(np.arange(len(got)), [len(r["on"]) for r in got])
