@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -83,11 +84,22 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 # Gazetteers and cues.
-SECRET_CUES = {"token", "secret", "password", "passwd", "key", "apikey", "api_key", "bearer", "pwd"}
-ID_CUES = {"ssn", "passport", "iban", "account", "id", "tax", "licence", "license", "social"}
+SECRET_CUES = {"token", "secret", "password", "passwd", "passphrase", "key", "apikey", "api_key", "access_key", "private_key", "auth",
+               "bearer", "credential", "credentials", "pwd", "passwort", "contrasena"}
+ID_CUES = {"ssn", "passport", "iban", "account", "id", "tax", "licence", "license", "social", "insurance", "policy", "badge", "employee",
+           "customer", "member", "konto", "ausweis", "steuer", "compte", "passeport", "cuenta", "pasaporte", "dni"}
 NAME_CUES = {"mr", "mrs", "ms", "dr", "herr", "frau", "monsieur", "madame", "senor", "senora", "name"}
-GIVEN_NAMES = {"john", "mary", "james", "anna", "peter", "maria", "david", "sarah", "thomas", "laura", "michael",
-               "julia", "pierre", "marie", "hans", "jose", "carlos", "elena", "robert", "linda"}
+GIVEN_NAMES = {
+    "adam", "alan", "alejandro", "alexander", "alice", "amy", "ana", "andrea", "andrew", "angela", "anna", "anne", "antoine", "antonio",
+    "barbara", "ben", "benjamin", "brian", "camille", "carl", "carlos", "carmen", "carol", "charles", "charlotte", "chloe", "christian",
+    "christine", "claire", "claudia", "daniel", "david", "diego", "donald", "edward", "elena", "elizabeth", "emily", "emma", "eric",
+    "eva", "fernando", "francisco", "frank", "franz", "fritz", "george", "hans", "heinrich", "helen", "henry", "isabel", "jack",
+    "jacques", "james", "jan", "jane", "javier", "jean", "jennifer", "johanna", "john", "jose", "joseph", "juan", "julia", "julie",
+    "karen", "karl", "katharina", "kevin", "klaus", "laura", "leon", "linda", "lisa", "louis", "lucas", "lucia", "luis", "manuel",
+    "marc", "margaret", "maria", "marie", "mark", "marta", "martin", "mary", "matthew", "michael", "miguel", "monica", "nancy",
+    "nicolas", "nina", "olivia", "pablo", "patricia", "paul", "paula", "pedro", "peter", "philip", "pierre", "rachel", "richard",
+    "robert", "rosa", "ruth", "sandra", "sarah", "sofia", "sophie", "stefan", "stephen", "steven", "susan", "thomas", "ursula",
+    "valerie", "victor", "walter", "werner", "william", "wolfgang"}
 _CODE = re.compile(r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*[0-9])[A-Za-z0-9_-]{20,}+")
 _GROUPED = re.compile(r"(?<![0-9A-Za-z.-])[0-9]{2,6}+(?:-[0-9]{2,6}+){1,4}(?![0-9A-Za-z-])")
 _NAMED = re.compile(r"\b(?:Mr|Mrs|Ms|Dr|Herr|Frau|Monsieur|Madame|Senora?|[Nn]ame is|[Nn]ame:)\.? "
@@ -105,15 +117,28 @@ def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, i
         found += [("secret", m.start(), m.end()) for m in _CODE.finditer(text)]
         found += [("id_number", m.start(), m.end()) for m in _GROUPED.finditer(text)]
     found += [("name", m.start(1), m.end(1)) for m in _NAMED.finditer(text)]
-    out, taken = [], sorted((a, b) for _, a, b in base)
+    out, free, starts, ends = [], 0, *_merged(base)
     for kind, a, b in sorted(found, key=lambda x: (x[1], -x[2], x[0])):
-        if any(s < b and a < e for s, e in taken):
+        near = bisect_left(starts, b)  # base spans that begin before b: the last of them reaches furthest
+        if a < free or near and ends[near - 1] > a:
             continue
-        taken.append((a, b))
+        free = b
         out.append((kind, a, b, *_judge(kind, text, a, b)))
     return out
 
 
+def _merged(base: list[tuple[str, int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the base spans, those that overlap as one."""
+    starts, ends = [], []
+    for a, b in sorted((a, b) for _, a, b in base):
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
 def _judge(kind: str, text: str, a: int, b: int) -> tuple[str, str]:
     """Votes ('+', '-' or '.' per labeler) and binned features of one candidate."""
     span, before, after = text[a:b], text[max(0, a - 24):a], text[b:b + 1]
