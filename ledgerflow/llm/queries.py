@@ -104,10 +104,10 @@ SELECT page_id, payload_bytes, payload_digest,
 
 
 def op6_mixing(spark, sf_dir):
-    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "first_slot")
 
 
-OP6_SQL = r"""
+OP6_SQL = rf"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
          md5(coalesce(doc_id::VARCHAR, '')) AS key FROM documents),
@@ -126,16 +126,27 @@ last_ AS (SELECT * FROM fill WHERE round = (SELECT max(round) FROM fill)),
 t AS (SELECT source, source_size, CASE WHEN capped THEN (3 * source_size)::DOUBLE
         ELSE (sum(source_size) OVER () - sum(CASE WHEN capped THEN 3 * source_size ELSE 0 END) OVER ())::DOUBLE * w
              / sum(CASE WHEN capped THEN 0 ELSE w END) OVER () END AS target FROM last_),
-q AS (SELECT *, floor(target + 1e-6)::BIGINT AS quota FROM t),
-p AS (SELECT d.*, q.source_size, q.target, q.quota,
+q AS (SELECT *, floor(target + 1e-6)::BIGINT AS quota, row_number() OVER (ORDER BY source IS NULL, source COLLATE "C") - 1 AS src FROM t),
+edges AS (SELECT src, sum(target) OVER (ORDER BY src ROWS UNBOUNDED PRECEDING) / greatest(1.0, sum(target) OVER ()) AS edge,
+            count(*) OVER () AS n FROM q),
+points AS (SELECT slot, (((slot + 1)::HUGEINT * {mixing.GOLDEN_64}) % 18446744073709551616)::DOUBLE / 18446744073709551616.0 AS u
+           FROM (SELECT unnest(range(CAST(ceil((SELECT sum(size) FROM d) / {mixing.BLOCK_WORDS}.0) AS BIGINT))) AS slot)),
+slots AS (SELECT slot, (SELECT count(*) FROM edges WHERE src < n - 1 AND edge <= u) AS src FROM points),
+ranked AS (SELECT src, slot, row_number() OVER (PARTITION BY src ORDER BY slot) - 1 AS block FROM slots),
+need AS (SELECT src, CAST(ceil(quota / {mixing.BLOCK_WORDS}.0) AS BIGINT) AS need FROM q),
+taken AS (
+  SELECT r.src, r.block, r.slot FROM ranked r JOIN need USING (src) WHERE block < need
+  UNION ALL SELECT src, block, (SELECT count(*) FROM points) + block FROM (
+    SELECT src, unnest(range((SELECT count(*) FROM ranked r WHERE r.src = need.src), need)) AS block FROM need)),
+p AS (SELECT d.*, q.source_size, q.target, q.quota, q.src,
         coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id, size
                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS lo
       FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source)
 SELECT doc_id, size, source_size, target,
   (greatest(0, least(lo + size, quota) - lo)
    + greatest(0, least(lo + source_size + size, quota) - lo - source_size)
-   + greatest(0, least(lo + 2 * source_size + size, quota) - lo - 2 * source_size))::BIGINT AS taken
-FROM p"""
+   + greatest(0, least(lo + 2 * source_size + size, quota) - lo - 2 * source_size))::BIGINT AS taken, t.slot AS first_slot
+FROM p LEFT JOIN taken t ON t.src = p.src AND t.block = lo // {mixing.BLOCK_WORDS} AND least(lo + size, quota) > lo"""
 
 
 def op7_suffix_dedup(spark, sf_dir):

@@ -1,0 +1,160 @@
+"""What earlier rounds' operators did at a switch, a prefix or a quadratic step."""
+import random
+import time
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerflow.llm import decontam, langid, mixing, pii, queries, toxicity
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string"
+
+
+# ------------------------------------------------------------------ personal data
+def plain_free(found, base):
+    out, taken = [], [(a, b) for _, a, b in base]
+    for kind, a, b in sorted(found, key=lambda x: (x[1], -x[2], x[0])):
+        if not any(s < b and a < e for s, e in taken):
+            taken.append((a, b))
+            out.append((kind, a, b))
+    return out
+
+
+def test_candidates_leave_taken_spans_alone():
+    rng = random.Random(4)
+    parts = ["a@b.co", "token=24be64439e3e49cf46b2d7c90f36", "123-45-6789", "Mr. John Smith", "+1 (555) 123-4567", "10.0.0.1", "x-1234567890abcdefghij-9", "so"]
+    for _ in range(60):
+        text = rng.choice([" ", "", ", "]).join(rng.choice(parts) for _ in range(30))
+        base = pii.base_spans(text)
+        found = [(k, m.start(g), m.end(g)) for k, p, g in (("secret", pii._CODE, 0), ("id_number", pii._GROUPED, 0), ("name", pii._NAMED, 1))
+                 for m in p.finditer(text)]
+        assert [x[:3] for x in pii.candidates(text, base)] == plain_free(found, base)
+
+
+def test_many_candidates_take_linear_time():
+    text = "".join(f"id 123-45-{k % 9000 + 1000} a{k}@b.co " for k in range(16_000))
+    began = time.time()
+    base = pii.base_spans(text)
+    got = pii.candidates(text, base)
+    assert len(got) >= 16_000 and len(base) == 16_000 and time.time() - began < 5
+
+
+# ------------------------------------------------------------------ language
+def words_of(rng, stock, n):
+    return " ".join(rng.choice(stock) for _ in range(n))
+
+
+GERMAN = "der hund läuft über die straße und sieht einen großen baum im garten des nachbarn während es regnet".split()
+ENGLISH = "the dog runs over the street and sees a large tree in the garden of the neighbour while it rains".split()
+
+
+def test_an_opening_does_not_stand_for_the_text(spark):
+    rng = random.Random(2)
+    opening = words_of(rng, ENGLISH, 500)
+    assert len(opening) > 2048
+    rows = [(k, opening + " " + words_of(rng, GERMAN, 1500), "de", "s") for k in range(120)]
+    rows += [(1000 + k, words_of(rng, ENGLISH, 800), "en", "s") for k in range(120)]
+    model = langid.learn(spark.createDataFrame(rows, DOCS))
+    asked = [(k, words_of(rng, GERMAN, 60), "de", "s") for k in range(50)] + [(50 + k, words_of(rng, ENGLISH, 60), "en", "s") for k in range(50)]
+    got = langid.predict(spark.createDataFrame(asked, DOCS), model).collect()
+    assert all(r.lang_pred == r.lang for r in got)
+
+
+def test_pieces_spread_and_do_not_repeat():
+    text = "".join(chr(0x4E00 + k) for k in range(5000))
+    got = langid.pieces(text, 256)
+    assert len(got) == 8 and len(set("".join(got))) == 8 * 256
+    assert langid.pieces("short", 256) == ["short"] and langid.pieces("", 256) == [""]
+    assert all(len(set("".join(langid.pieces(text[:n], 256)))) == sum(map(len, langid.pieces(text[:n], 256))) for n in (257, 511, 512, 700, 1300))
+
+
+def test_language_stage_rejects_by_the_parse(spark):
+    rng = random.Random(6)
+    rows = [(k, words_of(rng, GERMAN if k % 2 else ENGLISH, 120), "de" if k % 2 else "en", "s") for k in range(60)]
+    clean = [(100 + k, words_of(rng, GERMAN if k % 2 else ENGLISH, 90), None, "s") for k in range(20)]
+    clean += [(200, "ok", None, "s"), (201, "Ω", None, "s")]  # too short to tell
+    greek = "".join(chr(rng.randrange(0x3B1, 0x3C9)) for _ in range(400))
+    noise = "".join(rng.choice("qxzwvkjy") for _ in range(600))
+    odd = [(300, greek, None, "s"), (301, noise, None, "s"), (302, "123", None, "s"), (303, None, None, "s")]
+    docs = spark.createDataFrame(rows + clean + odd, DOCS)
+    assert {r.doc_id for r in langid.known_language(docs).collect()} == {r[0] for r in rows + clean}
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert {r.doc_id for r in langid.known_language(unlabelled).collect()} == {r[0] for r in rows + clean} | {300, 301}
+
+
+def test_language_stage_keeps_the_documents_of_the_table(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = {r.doc_id for r in langid.known_language(docs).select("doc_id").collect()}
+    assert kept == {r.doc_id for r in docs.collect() if r.text and any(c.isalpha() for c in r.text)}
+
+
+# ------------------------------------------------------------------ decontamination
+def test_shards_do_not_change_scores(spark, monkeypatch):
+    rng = random.Random(9)
+    stock = [f"w{k}" for k in range(400)]
+    items = [(k, words_of(rng, stock, rng.randint(8, 40)) + ". " + words_of(rng, stock, 6)) for k in range(60)]
+    docs = []
+    for k in range(120):
+        ws = items[rng.randrange(60)][1].split()
+        for _ in range(rng.randint(0, 5)):
+            ws[rng.randrange(len(ws))] = rng.choice(stock)
+        docs.append((k, words_of(rng, stock, 30) + " " + " ".join(ws) + " " + words_of(rng, stock, 30)))
+    docs, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = lambda: sorted((r.doc_id, r.item_id, round(r.score, 9), r.passage_at) for r in decontam.find_leaks(docs, items).collect())
+    one = found()
+    monkeypatch.setattr(decontam, "SHARD_ITEMS", 7)
+    assert found() == one and len(one) > 20
+
+
+def test_op4_against_a_scan_at_its_own_overlap(spark):
+    """Every pair whose question and answer overlap by ``OVERLAP`` in one passage, by a plain scan of the passages."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    items = [(i.item_id, *map(decontam.words, decontam.split_item(i.text)), decontam.words(i.text)) for i in
+             spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    size = max(decontam.PASSAGE, 2 * max(len(w) for *_, w in items))
+    sets = [(i, decontam.shingles(q), decontam.shingles(a), q, a) for i, q, a, _ in items]
+    want = set()
+    for d in docs:
+        ws = decontam.words(d.text)
+        whole = decontam.shingles(ws)
+        for i, qs, as_, q, a in sets:
+            if len(qs & whole) < decontam.OVERLAP * len(qs) and len(q) >= decontam.SHINGLE:
+                continue
+            for lo in range(0, max(1, len(ws)), size // 2):
+                part = ws[lo:lo + size]
+                if decontam.overlap(q, part) >= decontam.OVERLAP and decontam.overlap(a, part) >= decontam.OVERLAP:
+                    want.add((d.doc_id, i))
+    got = {(r.doc_id, r.item_id) for r in queries.op4_decontamination(spark, SF).collect()}
+    assert want and len(want & got) >= 0.99 * len(want), (len(want), sorted(want - got)[:5])
+
+
+# ------------------------------------------------------------------ mixing
+def test_first_slot_follows_the_schedule(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    slots = lambda: Counter(r.first_slot for r in mixing.mix(docs).collect())
+    one = slots()
+    monkeypatch.setattr(mixing, "GOLDEN_64", 1)
+    assert slots() != one
+
+
+# ------------------------------------------------------------------ toxicity
+@pytest.mark.parametrize("unlabelled", [0, 1, 200])
+def test_labels_of_all_or_some_documents(spark, unlabelled):
+    """The last label makes no difference: clean documents stay clean, toxic ones are found."""
+    rng = random.Random(3)
+    plain = [f"word{k}" for k in range(60)]
+    rows, labels = [], []
+    for k in range(400):
+        toxic = k % 5 == 1
+        rows.append((k, words_of(rng, plain, 30) + (" vile " + rng.choice(["scum", "filth", "trash"]) if toxic else ""), None, "s"))
+        labels.append((k, int(toxic)))
+    clean = [x for x in labels if not x[1]]
+    gone = {x[0] for x in clean[:unlabelled]}
+    known = spark.createDataFrame([x for x in labels if x[0] not in gone], "doc_id long, toxic int")
+    docs = spark.createDataFrame(rows, DOCS)
+    got = {r.doc_id: r.score for r in toxicity.score(docs, toxicity.fit(docs, known)).collect()}
+    flagged = [got[k] >= 0.5 for k, t in labels if not t]
+    found = [got[k] >= 0.5 for k, t in labels if t]
+    assert sum(flagged) <= 0.05 * len(flagged) and sum(found) >= 0.9 * len(found)
