@@ -151,7 +151,7 @@ def test_labels_of_all_or_some_documents(spark, unlabelled):
         rows.append((k, words_of(rng, plain, 30) + (" vile " + rng.choice(["scum", "filth", "trash"]) if toxic else ""), None, "s"))
         labels.append((k, int(toxic)))
     clean = [x for x in labels if not x[1]]
-    gone = {x[0] for x in clean[:unlabelled]}
+    gone = {x[0] for x in clean[:1]} if unlabelled == 1 else set(range(0, 2 * unlabelled, 2))
     known = spark.createDataFrame([x for x in labels if x[0] not in gone], "doc_id long, toxic int")
     docs = spark.createDataFrame(rows, DOCS)
     got = {r.doc_id: r.score for r in toxicity.score(docs, toxicity.fit(docs, known)).collect()}
