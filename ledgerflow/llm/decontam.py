@@ -19,7 +19,8 @@ broadcast alone, and each shard passes over the documents.
 
 Defined results: words are runs of letters or digits in lower case; items without a word
 are never found; null and empty texts have no passage; equal items are found each
-under its id; rows with equal ids are searched on their own; empty tables give no rows.
+under its id; rows with equal ids are searched on their own; very long texts are
+searched passage by passage; empty tables give no rows; ``find_leaks`` ignores other columns, ``clean`` keeps them.
 """
 from __future__ import annotations
 

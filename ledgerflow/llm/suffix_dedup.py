@@ -23,7 +23,8 @@ Digests that settle a whole span have 128 bits with the anchor's. All counts are
 capped or sampled. Texts are bytes of UTF-8, and no window crosses two documents.
 
 Defined results: null counts as empty; texts under ``length`` bytes are kept whole; rows that
-repeat (even their id) are copies of each other; an empty table gives no rows.
+repeat (even their id) are copies of each other; a very long text is whole in the task of its batch; an empty
+table gives no rows; other columns are ignored.
 """
 from __future__ import annotations
 

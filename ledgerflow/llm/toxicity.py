@@ -14,7 +14,8 @@ on whole texts.
 
 Defined results: empty and null texts score the model's intercept; without a positive row
 every score is 0; several labels of an id count as toxic if one is; rows of ``labels``
-without a document are ignored; an empty table gives no rows.
+without a document are ignored; a very long text counts by its set of words; an empty table gives no rows; other
+columns are ignored.
 """
 from __future__ import annotations
 

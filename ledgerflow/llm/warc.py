@@ -12,7 +12,7 @@ so a lost executor or a second attempt leaves one whole file.
 Defined results: null html is an empty payload; a null page_id writes a record without
 an id and never becomes the response that others refer to; rows that repeat both
 id and payload are all responses if theirs is the largest id; an empty table gives no
-archives and no rows; other columns are ignored.
+archives and no rows; a very long payload is one record, held by one task; other columns are ignored.
 """
 from __future__ import annotations
 
