@@ -42,6 +42,13 @@ def _filesystem(path: str):
     return got, at
 
 
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """``folder`` with the scheme of the store that Spark would write it to, so that executors open the same one."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    whole = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return whole.replace("file:/", "file:///", 1) if whole.startswith("file:/") and not whole.startswith("file://") else whole
+
+
 def plan_records(pages: DataFrame) -> DataFrame:
     """pages with payload, payload_bytes, payload_digest, record_type and refers_to.
 
@@ -257,6 +264,6 @@ def read_indexed(archives: DataFrame) -> DataFrame:
 
 def round_trip(spark: SparkSession, pages: DataFrame, folder: str | None = None) -> DataFrame:
     """Write ``pages`` as monolithic archives, normalise them, read them back."""
-    folder = folder or shared_path(spark, "warc")
+    folder = _qualified(spark, folder or shared_path(spark, "warc"))
     written = write_monolithic(plan_records(pages), f"{folder}/monolithic")
     return read_indexed(normalise(written, f"{folder}/normalised"))

@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import decontam, langid, mixing, pii, queries, toxicity
+from ledgerflow.llm import decontam, langid, mixing, pii, queries, toxicity, warc
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string"
@@ -158,3 +158,14 @@ def test_labels_of_all_or_some_documents(spark, unlabelled):
     flagged = [got[k] >= 0.5 for k, t in labels if not t]
     found = [got[k] >= 0.5 for k, t in labels if t]
     assert sum(flagged) <= 0.05 * len(flagged) and sum(found) >= 0.9 * len(found)
+
+
+# ------------------------------------------------------------------ WARC
+def test_archives_lie_where_spark_writes(spark, tmp_path):
+    """A folder without a scheme is one of Spark's default store."""
+    pages = spark.createDataFrame([(k, "http://x", "<p>" + "y" * (700 * k) + "</p>") for k in range(5)] + [(9, "http://x", "<p>" + "y" * 2800 + "</p>")],
+                                  "page_id long, url string, html string")
+    got = warc.round_trip(spark, pages, str(tmp_path / "a"))
+    assert {(r.page_id, r.record_type, r.refers_to) for r in got.collect()} == {
+        (0, "response", None), (1, "response", None), (2, "response", None), (3, "response", None), (4, "revisit", 9), (9, "response", None)}
+    assert warc._qualified(spark, "/x/y") == "file:///x/y" == warc._qualified(spark, "file:///x/y")
