@@ -160,7 +160,8 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, shard_rows: int = SHARD
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def answer(fp, member):
             star = _stars(fp[member].view(np.uint64), fp.view(np.uint64), max_bits)
-            return [(_signed(a), _signed(b)) for a, b in star.items()]
+            ends = ((_signed(a), _signed(b)) for a, b in star.items())
+            return [(max(e), min(e)) for e in ends]  # the smaller of two unsigned values may be the larger signed one
 
         held: list[tuple] = []  # the arrays of the shard that the last batch left open
         key, out = None, []
@@ -206,7 +207,8 @@ def components(edges: DataFrame) -> DataFrame:
                 least.select("a", F.col("m").alias("b")))
         return got.where("a > b").distinct()
 
-    now = materialise(edges.where("a > b").distinct(), "simhash-links")
+    now = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))  # a link has no direction
+    now = materialise(now.where("a > b").distinct(), "simhash-links")
     seen = state(now)
     while seen[0]:
         now = materialise(star(star(now, True), False), "simhash-round")
