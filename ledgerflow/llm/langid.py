@@ -17,8 +17,10 @@ whole text; the first piece of every document comes first, then the second of ea
 full, so no opening, however long, stands for the text. One sample per language reaches the driver and the tasks.
 
 ``known_language`` rejects by the parse: a text of at least ``SHORTEST`` bytes whose best language needs more bits a byte
-than ``SLACK`` times what the held-in texts need at most (each half of a language's sampled
-documents parsed against the other half) is of no language that was learned. Shorter texts say too little and stay.
+than ``SLACK`` times what ``MOST`` of all held-in texts need at most, each in its own language (labels may be wrong, so the
+last hundredth does not count), is of no language that was learned. Every labelled held-in text is parsed whole against its
+language's sample, those that the sample was cut from by their pieces, against the other half of it; the bits are counted
+in bins of 1 / ``BINS``, so only the bins reach the driver. Shorter texts say too little and stay.
 
 Defined results: null text or a text without a letter is ``und`` with score 0, as is
 every text if no language was learned (``known_language`` then keeps every text with a letter); ties go to the
@@ -43,9 +45,11 @@ PIECE = 256
 PIECES = (1 / 2, 1 / 4, 3 / 4, 1 / 8, 5 / 8, 3 / 8, 7 / 8, 1)  # where in the text each piece lies, in this order
 SHORTEST = 256
 SLACK = 1.5
+MOST = 0.99
+BINS = 1000
 BLOCK = 1024
 UNKNOWN = "und"
-LANES = 1 << 14  # blocks parsed side by side
+LANES = 1 << 12  # blocks parsed side by side
 
 
 def letters(text: Column) -> Column:
@@ -68,21 +72,27 @@ def pieces(text: str, size: int = PIECE) -> list[str]:
 
 def sampled(labelled: DataFrame, docs_each: int = SAMPLE_DOCS) -> dict[str, list[list[str]]]:
     """lang -> the pieces of its sampled documents, from rows (doc_id, text, lang)."""
+    return {lang: [p for p, _ in texts] for lang, texts in _sampled(labelled, docs_each).items()}
+
+
+def _sampled(labelled: DataFrame, docs_each: int = SAMPLE_DOCS) -> dict[str, list[tuple[list[str], int]]]:
+    """``sampled`` with a hash of each document's text."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = [pieces(t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("n"), pa.array(got, pa.list_(pa.string()))], ["lang", "n", "pieces"])
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("n"), batch.column("hash"), pa.array(got, pa.list_(pa.string()))],
+                                             ["lang", "n", "hash", "pieces"])
 
     w = Window.partitionBy("lang").orderBy("order", "doc_id", "hash")
     known = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).withColumn("hash", F.xxhash64("text"))
     chosen = known.select("lang", "doc_id", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("order"), "hash")
     chosen = F.broadcast(chosen.withColumn("n", F.row_number().over(w)).where(F.col("n") <= docs_each).alias("c"))  # docs_each a language
     rows = known.alias("k").join(chosen, F.col("k.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("k.hash") == F.col("c.hash"))
-                                 & (F.col("k.lang") == F.col("c.lang"))).select("c.lang", "c.n", F.col("k.text").alias("text"))
-    rows = rows.select("lang", "n", letters(F.col("text")).alias("text")).mapInArrow(cut, "lang string, n int, pieces array<string>")
-    out: dict[str, dict[int, list[str]]] = {}
+                                 & (F.col("k.lang") == F.col("c.lang"))).select("c.lang", "c.n", "c.hash", F.col("k.text").alias("text"))
+    rows = rows.select("lang", "n", "hash", letters(F.col("text")).alias("text")).mapInArrow(cut, "lang string, n int, hash long, pieces array<string>")
+    out: dict[str, dict[int, tuple[list[str], int]]] = {}
     for r in rows.collect():  # PIECES pieces of docs_each documents a language; rows that repeat one are equal
-        out.setdefault(r["lang"], {})[r["n"]] = r["pieces"]
+        out.setdefault(r["lang"], {})[r["n"]] = r["pieces"], r["hash"]
     return {lang: [texts[n] for n in sorted(texts)] for lang, texts in sorted(out.items())}
 
 
@@ -155,9 +165,10 @@ class Parser:
         assert other < end
         return np.ascontiguousarray(table.ravel())
 
-    def phrases(self, texts: list[bytes]) -> np.ndarray:
-        """Phrase counts, a row per text and a column per language."""
-        out = np.zeros((len(texts), len(self.langs)), np.int64)
+    def phrases(self, texts: list[bytes], only: str | None = None) -> np.ndarray:
+        """Phrase counts, a row per text and a column per language (one column for the language ``only``)."""
+        tables = self.tables if only is None else [self.tables[self.langs.index(only)]]
+        out = np.zeros((len(texts), len(tables)), np.int64)
         sizes = np.array([len(t) for t in texts], np.int64)
         n_blocks = -(-sizes // BLOCK)
         owner = np.repeat(np.arange(len(texts)), n_blocks)
@@ -169,19 +180,19 @@ class Parser:
         order = np.argsort(-length, kind="stable")
         for lo in range(0, len(order), LANES):
             lanes = order[lo:lo + LANES]
-            got = self._lanes(data, begin[lanes], length[lanes])
-            for k in range(len(self.langs)):
+            got = self._lanes(tables, data, begin[lanes], length[lanes])
+            for k in range(len(tables)):
                 out[:, k] += np.bincount(owner[lanes], got[k], len(texts)).astype(np.int64)
         return out
 
-    def _lanes(self, data, begin, length) -> list[np.ndarray]:
+    def _lanes(self, tables, data, begin, length) -> list[np.ndarray]:
         steps = int(length[0]) if len(length) else 0
         grid = np.full((steps, len(begin)), self.width - 1, np.uint8)
         active = np.searchsorted(-length, -np.arange(1, steps + 1), side="right")  # lanes are sorted, longest first
         for i in range(steps):
             grid[i, :active[i]] = data[begin[:active[i]] + i]
         out = []
-        for table in self.tables:
+        for table in tables:
             state, count = np.zeros(len(begin), np.int32), np.zeros(len(begin), np.int32)
             for i in range(steps):
                 a = active[i]
@@ -191,6 +202,10 @@ class Parser:
             out.append(count + (state != 0))
         return out
 
+    def rate(self, texts: list[bytes], lang: str) -> np.ndarray:
+        """Bits per byte that texts (none empty) need in one language."""
+        return self.phrases(texts, lang)[:, 0] * self.bits[self.langs.index(lang)] / np.array([len(t) for t in texts], float)
+
     def predict(self, texts: list[bytes]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, score (0 to 1: how far the runner-up stands behind), bits per byte."""
         sizes = np.array([len(t) for t in texts], float)
@@ -265,23 +280,57 @@ def learn(docs: DataFrame) -> dict[str, bytes]:
     return training_sample(_held_in(docs))
 
 
-def most_bits(texts: dict[str, list[list[str]]]) -> float:
-    """What a long held-in text needs at most in its own language, learned from the other half of the texts, times ``SLACK``;
-    no bound where no text is long enough."""
-    found = []
-    for lang, own in texts.items():
+def most_bits(held_in: DataFrame, texts: dict[str, list[tuple[list[str], int]]]) -> float:
+    """What ``MOST`` of all long held-in texts need at most in their own language, times ``SLACK``, the most of all languages;
+    no bound where no text is long enough. ``texts``: the sampled ones and their hashes."""
+    if not texts:
+        return float("inf")
+    own: dict[tuple[str, int], float | None] = {}  # of sampled texts: learned from the other half
+    for lang, pairs in texts.items():
         for half in (0, 1):
-            tested = [t for t in (" ".join(p).encode() for p in own[half::2]) if len(t) >= SHORTEST]
-            other = dealt(own[1 - half::2])
-            if tested and other:
-                found.append(float(Parser({lang: other}).predict(tested)[2].max()))
-    return SLACK * max(found) if found else float("inf")
+            tested = [(h, t) for h, t in ((h, " ".join(p).encode()) for p, h in pairs[half::2]) if len(t) >= SHORTEST]
+            other = dealt([p for p, _ in pairs[1 - half::2]])
+            rates = Parser({lang: other}).rate([t for _, t in tested], lang).tolist() if tested and other else [None] * len(tested)
+            own |= {(lang, h): r for (h, _), r in zip(tested, rates)}
+    samples = {lang: dealt([p for p, _ in pairs]) for lang, pairs in texts.items()}
+    shared = held_in.sparkSession.sparkContext.broadcast((samples, own))  # SAMPLE_BYTES and SAMPLE_DOCS numbers a language
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parser, own = _parser(shared.value[0]), shared.value[1]
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 2048):
+                part = batch.slice(lo, 2048)
+                langs, hashes = part.column("lang").to_pylist(), part.column("hash").to_pylist()
+                todo: dict[str, list[bytes]] = {}
+                found = []
+                for lang, h, t in zip(langs, hashes, part.column("_letters").cast(pa.binary()).to_pylist()):
+                    if len(t) < SHORTEST:
+                        continue
+                    if (lang, h) not in own:
+                        todo.setdefault(lang, []).append(t)
+                    elif own[lang, h] is not None:
+                        found.append((lang, own[lang, h]))
+                for lang, some in todo.items():
+                    found += [(lang, r) for r in parser.rate(some, lang).tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.string()),
+                                                  pa.array([int(np.ceil(r * BINS)) for _, r in found], pa.int64())], ["lang", "bin"])
+
+    rows = held_in.where(F.col("lang").isin(*samples)).select("lang", F.xxhash64("text").alias("hash"), _only_letters(F.col("text")))
+    bins: dict[str, list[tuple[int, int]]] = {}
+    for r in rows.mapInArrow(tidy(task), "lang string, bin long").groupBy("lang", "bin").count().collect():
+        bins.setdefault(r["lang"], []).append((r["bin"], r["count"]))
+    found = []
+    for counts in bins.values():
+        at, n = np.array(sorted(counts), np.int64).T
+        found.append(at[np.searchsorted(n.cumsum(), MOST * n.sum())] / BINS)
+    return SLACK * float(max(found)) if found else float("inf")
 
 
 def known_language(docs: DataFrame) -> DataFrame:
     """``docs`` without those whose text has no language: null, without a letter, or like none that was learned."""
     names = [f"c{k}" for k in range(len(docs.columns))]  # whatever the columns are called, they come back as they were
     rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names)], _only_letters(F.col("text")))
-    texts = sampled(_held_in(docs))
-    samples = {lang: dealt(own) for lang, own in texts.items()}
-    return _parsed(rows, samples, [], most_bits(texts)).toDF(*docs.columns)
+    held_in = _held_in(docs)
+    texts = _sampled(held_in)
+    samples = {lang: dealt([p for p, _ in own]) for lang, own in texts.items()}
+    return _parsed(rows, samples, [], most_bits(held_in, texts)).toDF(*docs.columns)
