@@ -162,3 +162,23 @@ def test_records_over_splits(spark):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", was)
     assert got == sorted([("a.csv", k, t, f"x{k}") for k, t in rows] + [("plain.csv", 7, "seven", "x7")])
+
+
+def test_cells_before_the_first_quoted_one_are_cut_at_commas(spark):
+    """The fast way gives what the pattern gives over the whole record, whatever its quotes; a header is cut once a file."""
+    import itertools
+    from pyspark.sql import functions as F
+    from ledgerflow.sources import delimited
+    texts = ["".join(x) for n in range(7) for x in itertools.product('a,"', repeat=n)]
+    texts += [t.replace("a", "é\n\r") for t in texts if len(t) == 5]
+    rows = spark.createDataFrame([(t,) for t in texts], "record string")
+    plain = F.regexp_extract_all(F.concat(F.lit(","), "record"), F.lit(delimited._CELL), 1)
+    assert rows.where(~delimited.cells(F.col("record")).eqNullSafe(plain)).collect() == []
+
+
+def test_only_one_record_of_a_file_is_read_as_a_header(spark, tmp_path):
+    from ledgerflow.sources.files import CONTACT_FIELDS, scan_csv
+    (tmp_path / "a.csv").write_text("Contact,LEAN\n" + "".join(f"c{k},x\n" for k in range(50)))
+    plan = scan_csv(spark, str(tmp_path / "*.csv"), CONTACT_FIELDS, ("contact",)).rejected._jdf.queryExecution().optimizedPlan().toString()
+    # what makes names of cells stands above the aggregate that leaves one record a file
+    assert plan.index("transform(") < plan.index("min(struct(row_no")
