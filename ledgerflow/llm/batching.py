@@ -57,3 +57,26 @@ def unpack_arrays(blob: bytes, *types) -> list[np.ndarray]:
         out.append(np.frombuffer(raw, t, n, at))
         at += n * np.dtype(t).itemsize
     return out
+
+
+def pack_ints(*arrays: np.ndarray) -> bytes:
+    """Arrays of integers of 0 or more, as planes of their bytes: small numbers take little room."""
+    head, planes = [], []
+    for a in arrays:
+        a = np.ascontiguousarray(a, np.uint64)
+        width = max(1, (int(a.max()).bit_length() + 7) // 8) if len(a) else 1
+        planes.append(a.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes())
+        head += [len(a), width]
+    return zstandard.ZstdCompressor(level=9).compress(np.array(head, np.int64).tobytes() + b"".join(planes))
+
+
+def unpack_ints(blob: bytes, number: int) -> list[np.ndarray]:
+    """The ``number`` arrays of a blob, as int64 (64-bit hashes keep their bits)."""
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    out, at = [], 16 * number
+    for n, width in np.frombuffer(raw, np.int64, 2 * number).reshape(-1, 2).tolist():
+        a = np.zeros((n, 8), np.uint8)
+        a[:, :width] = np.frombuffer(raw, np.uint8, n * width, at).reshape(width, n).T
+        out.append(a.view(np.int64).reshape(-1))
+        at += n * width
+    return out

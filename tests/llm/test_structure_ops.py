@@ -370,6 +370,57 @@ def test_seats_take_exact_totals_in_every_bucket(spark, monkeypatch):
         assert total[:pitman_yor.CONTEXTS].sum() == total[pitman_yor.CONTEXTS] >= total[pitman_yor.CONTEXTS + 1] > 0
 
 
+def test_each_word_has_its_own_restaurant(spark):
+    """Words with one ending: what follows the one says nothing about what follows the other."""
+    rows = [(i, ("north", "south")[i % 2] + "western " + ("rain", "snow")[i % 2]) for i in range(200)]
+    asked = [(1000, "northwestern rain"), (1001, "northwestern snow"), (1002, "southwestern rain"), (1003, "southwestern snow")]
+    df = spark.createDataFrame([*rows, *asked], "doc_id long, text string")
+    s = {r.doc_id: r.score for r in pitman_yor.score(df, F.col("doc_id") >= 1000).collect()}
+    assert s[1000] > s[1001] + 1 and s[1003] > s[1002] + 1  # ten times likelier
+
+
+def test_restaurants_hold_their_tables_of_all_buckets(spark, monkeypatch):
+    """Scores against the model seated in one piece, with a number for each word; and the tables that homes
+    add up for a restaurant are its customers less what the dishes of all buckets take off them."""
+    texts = [" ".join(f"w{(i * k * k + k) % 13}" for k in range(12)) for i in range(120)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(pitman_yor, "BUCKET_BYTES", 500)
+    monkeypatch.setattr(pitman_yor, "BATCH_BYTES", 900)
+    got = {r.doc_id: r for r in pitman_yor.score(df, F.col("doc_id") % 4 == 0).collect()}
+    words = ["", *sorted({w for t in texts for w in t.split()})]
+    number = {w: k for k, w in enumerate(words)}
+    assert len(words) <= pitman_yor.CONTEXTS
+    pairs = {i: [(number[w], number[u]) for w, u in zip([*t.split(), ""], ["", *t.split()])] for i, t in enumerate(texts)}
+    seen = Counter(p for i, ps in pairs.items() if i % 4 for p in ps)
+    keys = sorted(seen)
+    word, context = (np.array([k[j] for k in keys]) for j in (0, 1))
+    mean, kept, totals = pitman_yor._seat(word, context, np.array([seen[k] for k in keys]), len(words), 1, 5)
+    n, means = pitman_yor.CONTEXTS, dict(zip(keys, mean.tolist()))
+    per = totals[n:-1].reshape(pitman_yor.SAMPLES, -1)
+    (d1, d0), (s1, s0) = pitman_yor.DISCOUNTS, pitman_yor.STRENGTHS
+
+    def logp(w, u):
+        p = means.get((w, u), 0.0)
+        for g in range(pitman_yor.SAMPLES):
+            parent = (kept[g][w] + (s0 + d0 * per[g, n + 1]) / (1 + totals[-1])) / (s0 + per[g, n])
+            p += (s1 + d1 * per[g, u]) * parent / pitman_yor.SAMPLES
+        return math.log10(p / (s1 + totals[u]))
+
+    plain = {i: sum(logp(*p) for p in ps) for i, ps in pairs.items()}
+    assert abs(sum(plain.values()) - sum(r.score for r in got.values())) < 0.01 * abs(sum(plain.values()))
+    for i, r in got.items():
+        assert abs(plain[i] - r.score) < 0.05 * abs(plain[i])
+
+
+def test_whole_numbers_and_steps_come_back():
+    arrays = [np.array([0, 1, 255, 256, 1 << 40]), np.zeros(0, np.int64), np.array([7])]
+    assert all((a == b).all() and len(a) == len(b) for a, b in zip(arrays, pitman_yor.unpack_ints(pitman_yor.pack_ints(*arrays), 3)))
+    high = np.array([3, (1 << 64) - 1], np.uint64)
+    assert (pitman_yor.unpack_ints(pitman_yor.pack_ints(high), 1)[0].view(np.uint64) == high).all()
+    chain = [np.array([5, 9, 1]), np.array([4, 9, 3]), np.array([6, 0, 0])]
+    assert all((a == b).all() for a, b in zip(chain, pitman_yor.from_steps(pitman_yor.steps(chain))))
+
+
 def test_tables_follow_their_conditional():
     """Two customers share a table with the odds of the restaurant process."""
     rng = np.random.default_rng(1)
